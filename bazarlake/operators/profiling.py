@@ -29,6 +29,7 @@ def column_profile(df: DataFrame, layer: str, table: str) -> DataFrame:
             F.struct(
                 F.lit(f.name).alias("column_name"),
                 F.lit(f.dataType.simpleString()).alias("data_type"),
+                F.lit("YES" if f.nullable else "NO").alias("nullable"),
                 F.lit(i + 1).alias("ordinal_position"),
                 F.col(f"c{i}").alias("null_count"),
             )
@@ -37,4 +38,4 @@ def column_profile(df: DataFrame, layer: str, table: str) -> DataFrame:
     )
     return counters.select(
         F.lit(layer).alias("layer"), F.lit(table).alias("table_name"), "row_count", F.explode(rows).alias("c")
-    ).select("layer", "table_name", "c.column_name", "c.data_type", "c.ordinal_position", "row_count", "c.null_count")
+    ).select("layer", "table_name", "c.column_name", "c.data_type", "c.nullable", "c.ordinal_position", "row_count", "c.null_count")

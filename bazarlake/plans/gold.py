@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from bazarlake.functions import bands
 from bazarlake.functions.delivery import date_key
-from bazarlake.functions.lineage import joined_hash
+from bazarlake.functions.lineage import GOLD_LINEAGE, joined_hash
 from bazarlake.functions.rates import freight_ratio, mean2, mean2_money, rate_pct
 from bazarlake.functions.text import NOT_AVAILABLE, or_not_available
 from bazarlake.functions.typed import MONEY
@@ -263,7 +263,7 @@ def mart_service_risk(logistics: DataFrame, order_by: str = "severity") -> DataF
     ``severity`` ranks high before medium before low; ``label`` sorts the level's name downwards
     (medium, low, high). Ties end at the seller id, a missing seller last.
     """
-    graded = logistics.withColumn("service_risk_level", bands.service_risk_level())
+    graded = logistics.drop(*GOLD_LINEAGE).withColumn("service_risk_level", bands.service_risk_level())
     lead = {
         "severity": bands.position_in(bands.RISK_ORDER, "service_risk_level").asc(),
         "label": F.desc("service_risk_level"),

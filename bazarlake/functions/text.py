@@ -40,8 +40,7 @@ def zip5(name: str) -> Column:
 
 def is_blank(name: str) -> Column:
     """True for NULL and for the empty string."""
-    column = F.col(name)
-    return column.isNull() | (column == "")
+    return F.coalesce(name, F.lit("")) == ""
 
 
 def or_not_available(column: Column) -> Column:

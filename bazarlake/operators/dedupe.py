@@ -1,27 +1,41 @@
-"""One row per key, always the same one."""
+"""One row per key, always the same one.
+
+Rows are ordered by ``order_by`` and then by all other columns, NULL first, so the kept row does
+not depend on how the input is split or shuffled.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+Order = Sequence[str | Column]
+
+
+def _all_columns(df: DataFrame, keys: Sequence[str], order_by: Order | None) -> list[str | Column]:
+    lead = list(order_by or [])
+    return lead + [name for name in df.columns if name not in keys and name not in [c for c in lead if isinstance(c, str)]]
+
+
+def keep_one(df: DataFrame, keys: Sequence[str], order_by: Order | None = None) -> DataFrame:
+    """Keep the first row per key by a rank of 1.
+
+    Spark limits each key to one row per task before the shuffle (WindowGroupLimit), so a key
+    that holds a large part of the rows does not fill one task.
+    """
+    ranked = Window.partitionBy(*keys).orderBy(*_all_columns(df, keys, order_by))
+    return df.withColumn("__rank", F.row_number().over(ranked)).filter("__rank = 1").drop("__rank")
+
 
-def keep_one(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column] | None = None
-) -> DataFrame:
-    """Keep per key the row that comes first by ``order_by`` and then by all other columns.
+def keep_one_grouped(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = None) -> DataFrame:
+    """The same row from a grouping, by a minimum over a struct that is combined before the shuffle.
 
-    A minimum over a struct is combined before the shuffle, so a key that holds a large part of
-    the rows sends one row per task, and the result is the same for any input order. As a
-    grouping it also tells Catalyst that the keys are unique, which removes unused left joins.
-    NULL sorts first.
+    Costs more per row than the rank, but as a grouping it tells Catalyst that the keys are
+    unique: a left join with the result drops out of every query that does not read its columns.
+    For tables on the right side of such joins.
     """
-    rest = [name for name in df.columns if name not in keys]
-    lead = [c.alias(f"__lead_{i}") for i, c in enumerate(order_by or []) if isinstance(c, Column)]
-    named = [c for c in order_by or [] if isinstance(c, str)]
-    tail = [name for name in rest if name not in named]
-    first = F.min(F.struct(*lead, *named, *tail)).alias("__first")
+    first = F.min(F.struct(*_all_columns(df, keys, order_by))).alias("__first")
     best = df.groupBy(*keys).agg(first)
     return best.select(*[F.col(n) if n in keys else F.col(f"__first.{n}").alias(n) for n in df.columns])

@@ -7,35 +7,25 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _missing(field: T.StructField):
-    column = F.col(f"`{field.name}`")
+def _missing(field: T.StructField) -> str:
+    name = f"`{field.name}`"
     if isinstance(field.dataType, T.StringType):
-        return column.isNull() | (F.trim(column) == "")
-    return column.isNull()  # a number, date or flag that is present is never blank text
+        return f"coalesce(trim({name}), '') = ''"
+    return f"{name} IS NULL"  # a number, date or flag that is present is never blank text
 
 
 def column_profile(df: DataFrame, layer: str, table: str) -> DataFrame:
     """One row per column: type, position, rows of the table, NULL or blank cells.
 
-    All counters sit in a single aggregate and are then spread into rows.
+    All counters sit in a single aggregate and are then spread into rows. They are written as SQL
+    text, since a wide table needs many of them.
     """
     fields = df.schema.fields
-    counters = df.agg(
-        F.count("*").alias("row_count"),
-        *[F.count_if(_missing(f)).alias(f"c{i}") for i, f in enumerate(fields)],
+    counters = df.selectExpr("count(*) AS row_count", *[f"count_if({_missing(f)}) AS c{i}" for i, f in enumerate(fields)])
+    rows = ", ".join(
+        f"'{f.name}', '{f.dataType.simpleString()}', '{'YES' if f.nullable else 'NO'}', {i + 1}, row_count, c{i}"
+        for i, f in enumerate(fields)
     )
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(f.name).alias("column_name"),
-                F.lit(f.dataType.simpleString()).alias("data_type"),
-                F.lit("YES" if f.nullable else "NO").alias("nullable"),
-                F.lit(i + 1).alias("ordinal_position"),
-                F.col(f"c{i}").alias("null_count"),
-            )
-            for i, f in enumerate(fields)
-        ]
-    )
-    return counters.select(
-        F.lit(layer).alias("layer"), F.lit(table).alias("table_name"), "row_count", F.explode(rows).alias("c")
-    ).select("layer", "table_name", "c.column_name", "c.data_type", "c.nullable", "c.ordinal_position", "row_count", "c.null_count")
+    columns = "column_name, data_type, nullable, ordinal_position, row_count, null_count"
+    long = counters.selectExpr(f"stack({len(fields)}, {rows}) AS ({columns})")
+    return long.select(F.lit(layer).alias("layer"), F.lit(table).alias("table_name"), "*")

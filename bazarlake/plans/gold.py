@@ -15,7 +15,7 @@ from bazarlake.functions.lineage import GOLD_LINEAGE, joined_hash
 from bazarlake.functions.rates import freight_ratio, mean2, mean2_money, rate_pct
 from bazarlake.functions.text import NOT_AVAILABLE, or_not_available
 from bazarlake.functions.typed import MONEY
-from bazarlake.operators.dedupe import keep_one
+from bazarlake.operators.dedupe import keep_one_grouped
 from bazarlake.operators.ranking import global_row_number
 
 EVENT_COLUMNS = (
@@ -154,7 +154,7 @@ def dim_location(order_service: DataFrame) -> DataFrame:
     """Places in both roles; each order gives two rows in one scan instead of a union of two."""
     both = F.explode(F.array(_location("customer"), _location("seller"))).alias("place")
     places = order_service.select(both).select("place.*").filter("zip_code_prefix IS NOT NULL")
-    return keep_one(places, LOCATION_KEY)
+    return keep_one_grouped(places, LOCATION_KEY)
 
 
 def service_band_key() -> Column:

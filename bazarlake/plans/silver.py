@@ -15,7 +15,7 @@ from bazarlake.functions.lineage import BRONZE_LINEAGE
 from bazarlake.functions.rates import freight_ratio, mean2
 from bazarlake.functions.text import clean_id, clean_state, is_blank, normalize_city, normalize_text, zip5
 from bazarlake.functions.typed import to_double, to_int, to_money, to_ts, to_ts_strict
-from bazarlake.operators.dedupe import keep_one
+from bazarlake.operators.dedupe import keep_one, keep_one_grouped
 from bazarlake.operators.quarantine import Rule, accepted, rejected
 
 # The order states the business knows.
@@ -54,7 +54,7 @@ def customers(bronze: DataFrame) -> DataFrame:
         clean_state("customer_state"),
         *_lineage(bronze),
     )
-    return keep_one(typed.filter(~is_blank("customer_id")), ["customer_id"])
+    return keep_one_grouped(typed.filter(~is_blank("customer_id")), ["customer_id"])
 
 
 def sellers(bronze: DataFrame) -> DataFrame:
@@ -65,7 +65,7 @@ def sellers(bronze: DataFrame) -> DataFrame:
         clean_state("seller_state"),
         *_lineage(bronze),
     )
-    return keep_one(typed.filter(~is_blank("seller_id")), ["seller_id"])
+    return keep_one_grouped(typed.filter(~is_blank("seller_id")), ["seller_id"])
 
 
 def category_translation(bronze: DataFrame) -> DataFrame:
@@ -74,7 +74,7 @@ def category_translation(bronze: DataFrame) -> DataFrame:
         normalize_text("product_category_name_english"),
         *_lineage(bronze),
     )
-    return keep_one(typed.filter(~is_blank("product_category_name")), ["product_category_name"])
+    return keep_one_grouped(typed.filter(~is_blank("product_category_name")), ["product_category_name"])
 
 
 def products(bronze: DataFrame) -> DataFrame:
@@ -139,7 +139,8 @@ def items_typed(bronze: DataFrame) -> DataFrame:
 
 
 def _not_an_amount(name: str) -> Column:
-    return F.col(name).isNull() | (F.col(name) < 0)
+    # Names the column once: a filter that is pushed into the scan repeats the cast per mention.
+    return F.coalesce(name, F.lit(-1)) < 0
 
 
 def item_rules() -> list[Rule]:
@@ -263,11 +264,8 @@ ITEM_TOTALS = (
 )
 
 
-def order_item_metrics(items: DataFrame) -> DataFrame:
-    """Totals and reference seller per order, in one pass over the items.
-
-    The reference seller is that of the lowest item number.
-    """
+def order_items_agg(items: DataFrame) -> DataFrame:
+    """Totals per order. The buffers are numbers only, which keeps this a hash aggregation."""
     return items.groupBy("order_id").agg(
         F.sum("price").alias("product_total_value"),
         F.sum("freight_value").alias("freight_total_value"),
@@ -276,17 +274,14 @@ def order_item_metrics(items: DataFrame) -> DataFrame:
         F.countDistinct("product_id").alias("distinct_product_count"),
         F.countDistinct("seller_id").alias("distinct_seller_count"),
         F.round(F.avg(freight_ratio()), 4).cast("decimal(18,4)").alias("avg_freight_to_price_ratio"),
-        F.min(F.struct("order_item_id", "seller_id")).getField("seller_id").alias("primary_seller_id"),
     )
 
 
-def order_items_agg(items: DataFrame) -> DataFrame:
-    return order_item_metrics(items).select("order_id", *ITEM_TOTALS)
-
-
 def order_primary_seller(items: DataFrame) -> DataFrame:
-    return order_item_metrics(items).select(
-        "order_id", "primary_seller_id", F.col("distinct_seller_count").alias("seller_count")
+    """Reference seller per order, that of the lowest item number, and the number of sellers."""
+    return items.groupBy("order_id").agg(
+        F.min_by("seller_id", "order_item_id").alias("primary_seller_id"),
+        F.countDistinct("seller_id").alias("seller_count"),
     )
 
 
@@ -336,9 +331,11 @@ def order_service(
     destination = customer_destination(zips).withColumnRenamed(
         "customer_zip_code_prefix_geo", "customer_zip_code_prefix"
     )
+    primary_seller = order_primary_seller(items).drop("seller_count")  # counted with the totals
     joined = (
         orders.drop(*BRONZE_LINEAGE)
-        .join(order_item_metrics(items), "order_id", "left")
+        .join(order_items_agg(items), "order_id", "left")
+        .join(primary_seller, "order_id", "left")
         .join(payments_agg, "order_id", "left")
         .join(reviews_agg, "order_id", "left")
         .join(buyers, "customer_id", "left")

@@ -24,7 +24,10 @@ RUN_ID = "20240101T000000Z"
 RUN_TS = datetime(2024, 1, 1)
 
 _QUERIES: dict[str, Query] = {}
+# Per session and folder. A Lake holds plans only, so sharing it saves analysis, not execution.
+_PLANS: dict[tuple[str, str], Lake] = {}
 _WRITTEN: dict[tuple[str, str], WrittenLake] = {}
+_PROFILES: dict[tuple[str, str], DataFrame] = {}
 
 
 def query(function: Query) -> Query:
@@ -38,7 +41,10 @@ def all_queries() -> dict[str, Query]:
 
 def lake_of(spark: SparkSession, sf_dir: str) -> Lake:
     """All tables as lazy plans over the supplied tables."""
-    return Lake(lambda name: text_feed(spark, sf_dir, name))
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _PLANS:
+        _PLANS[key] = Lake(lambda name: text_feed(spark, sf_dir, name))
+    return _PLANS[key]
 
 
 def bronze_of(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -871,13 +877,9 @@ def fn_cast(spark, sf_dir):
 # ---------------------------------------------------------------- quality
 
 
-def _profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.column_profiles(written_lake_of(spark, sf_dir).tables())
-
-
 @query
 def dq_table_profile(spark, sf_dir):
-    return quality.table_profile(_profile(spark, sf_dir))
+    return quality.table_profile(quality.column_profiles(written_lake_of(spark, sf_dir).tables()))
 
 
 @query
@@ -969,6 +971,14 @@ def dq_drilldown(spark, sf_dir):
 # ---------------------------------------------------------------- dictionary
 
 
+def _profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Column profile of the written layers, computed once per session: one row per column."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _PROFILES:
+        _PROFILES[key] = materialize(quality.column_profiles(written_lake_of(spark, sf_dir).tables()))
+    return _PROFILES[key]
+
+
 def _inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dictionary.column_inventory(
         _profile(spark, sf_dir), dictionary.column_dictionary(spark), dictionary.common_dictionary(spark)

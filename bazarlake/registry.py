@@ -12,6 +12,7 @@ from bazarlake.functions import bands, lineage, rates, text, typed
 from bazarlake.lake import Lake, WrittenLake, build
 from bazarlake.operators.dedupe import keep_one
 from bazarlake.operators.keys import only_in, orphan_count
+from bazarlake.operators.ranking import global_row_number
 from bazarlake.operators.workdir import fresh_folder, materialize
 from bazarlake.plans import analyses, bronze, dictionary, gold, quality, silver
 from bazarlake.sources import files
@@ -697,7 +698,7 @@ def win_row_number_global(spark, sf_dir):
     sellers = lake_of(spark, sf_dir).dim_seller
     order = [F.desc("lifetime_product_revenue"), F.desc("lifetime_order_count"), F.asc("seller_id")]
     slim = sellers.select("seller_id", "lifetime_order_count", "lifetime_product_revenue")
-    return gold.global_row_number(slim, order, "revenue_rank")
+    return global_row_number(slim, order, "revenue_rank")
 
 
 def _seller_benchmarks(spark: SparkSession, sf_dir: str) -> DataFrame:

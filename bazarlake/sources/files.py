@@ -46,7 +46,7 @@ def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
 
 def save_managed(df: DataFrame, name: str) -> None:
     """Replace a managed table of the session's catalog, schema included."""
-    df.write.mode("overwrite").option("overwriteSchema", "true").saveAsTable(name)
+    df.write.mode("overwrite").saveAsTable(name)
 
 
 def written_row_count(spark: SparkSession, root: str, table: str) -> DataFrame:

@@ -124,6 +124,14 @@ def test_csv_and_tables(spark, tmp_path):
     assert tuple(written_row_count(spark, str(tmp_path), "t").first()) == ("t", 2)
 
 
+def test_managed_table(spark):
+    df = spark.range(3).withColumn("x", F.lit("a"))
+    save_managed(df.select("id"), "bazarlake_managed")
+    save_managed(df, "bazarlake_managed")
+    assert spark.table("bazarlake_managed").columns == ["id", "x"]
+    assert spark.table("bazarlake_managed").count() == 3
+
+
 def test_csv_line_breaks(spark, tmp_path):
     feed = FEEDS["category_translation"]
     path = tmp_path / "c.csv"

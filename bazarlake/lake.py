@@ -14,7 +14,6 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from bazarlake.functions.lineage import with_gold_lineage, with_silver_lineage
-from bazarlake.operators.dedupe import keep_one
 from bazarlake.plans import bronze as bronze_plans
 from bazarlake.plans import gold, silver
 from bazarlake.sources.feeds import FEEDS

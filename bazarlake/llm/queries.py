@@ -11,7 +11,9 @@ from bazarlake.llm import (
     line_dedup,
     matrix_packing,
     minhash,
+    nn_descent,
     quality_rules,
+    segmentation,
     sharding,
     token_counts,
     toxicity,
@@ -20,6 +22,7 @@ from bazarlake.llm.common import table
 from bazarlake.llm.sql import SQL
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +33,10 @@ def op2_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cost_packing.packed(table(spark, sf_dir, "documents"), TOKENIZER, with_ids=False)
 
 
+def op3_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.linked(table(spark, sf_dir, "embeddings"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -47,6 +54,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(table(spark, sf_dir, "documents"))
 
 
+def op8_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segmentation.sampled(table(spark, sf_dir, "documents"), PIECES, with_ids=False)
+
+
 def op9_matrix_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matrix_packing.packed(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -56,8 +67,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_minhash_near_dedup, op2_cost_packing, op4_toxicity, op5_sharding, op6_quality_rules, op7_line_dedup,
-    op9_matrix_packing, op10_token_counts,
+    op1_minhash_near_dedup, op2_cost_packing, op3_nn_descent, op4_toxicity, op5_sharding, op6_quality_rules,
+    op7_line_dedup, op8_segmentation, op9_matrix_packing, op10_token_counts,
 )} | {"pipeline": corpus_pipeline.run}
 
 ORACLE_SQL = dict(SQL) | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

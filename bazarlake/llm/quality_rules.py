@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bazarlake.llm.common import SPACES, WORD, let, row_of, text_or_empty
+from bazarlake.llm.common import SPACES, WORD, let, text_or_empty
 
 # Frequent function words of English, German, French and Spanish.
 STOP_WORDS = (
@@ -146,8 +146,14 @@ def measured(
 
 
 def accepted(docs: DataFrame, rules: tuple[Rule, ...] = RULES, stop_words: tuple[str, ...] = tuple(STOP_WORDS), text: str = "text") -> DataFrame:
-    """The rows whose text passes, with all their columns."""
-    base, broken = _verdict(F.col("__counts"), rules)
-    held = docs.select(row_of(docs).alias("__row"), F.col(text).alias("__text"))
-    passed = _with_counts(held, "__text", stop_words, F.col("__row")).filter(~base & (F.size(broken) == 0))
-    return passed.select("__row.*")
+    """The rows whose text passes, with all their columns.
+
+    The verdict is one expression that holds the counts once: a filter on columns made from them
+    would be pushed below the projection and repeat the counting for each of its terms.
+    """
+
+    def passed(counts: Column) -> Column:
+        base, broken = _verdict(counts, rules)
+        return ~base & (F.size(broken) == 0)
+
+    return docs.filter(let(_counts(text_or_empty(text), stop_words), passed))

@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bazarlake.llm.common import row_of, utf8, words_of
+from bazarlake.llm.encoding import in_groups
 
 SAMPLE_TOXIC = 800
 SAMPLE_CLEAN = 1600
@@ -38,6 +39,7 @@ EPOCHS = 30
 CUT = 0.7
 _BATCH_BYTES = 1 << 20
 _CACHED_WORDS = 200_000
+_FIT_TOKENS = 100_000
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -206,14 +208,26 @@ def fit_sample(texts: list[bytes], toxic: list[int], epochs: int = EPOCHS) -> Mo
         return value + rate * (moments[i] / (1 - 0.9**k)) / (np.sqrt(moments[i + 1] / (1 - 0.99**k)) + 1e-6)
 
     flat, repeat = features.ravel(), features.shape[1]
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+
+    def swept(emission: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Forward-backward, some documents at a time to bound the memory."""
+        marginal, expected = np.empty(len(token)), np.zeros((2, 2))
+        for low, high in in_groups(sizes.tolist(), _FIT_TOKENS):
+            own = slice(bounds[low], bounds[high])
+            if bounds[low] < bounds[high]:
+                marginal[own], pairs = _forward_backward(emission[token[own]], sizes[low:high], transition)
+                expected += pairs
+        return marginal, expected
+
     for k in range(1, epochs + 1):
-        marginal, expected = _forward_backward(weights[features].sum(axis=1)[token], sizes, transition)
+        marginal, expected = swept(weights[features].sum(axis=1))
         per_type = np.bincount(token, y - marginal, minlength=len(types))
         gradient = np.bincount(flat, np.repeat(per_type, repeat), minlength=1 << BITS) - 0.02 * weights
         weights = adam(weights, gradient, 0, k)
         transition = adam(transition, seen - expected - 0.02 * transition, 2, k)
     model = Model(weights.astype(np.float32), transition)
-    marginal, _ = _forward_backward(model.weights.astype(float)[features].sum(axis=1)[token], sizes, transition)
+    marginal, _ = swept(model.weights.astype(float)[features].sum(axis=1))
     x = _evidence(marginal, sizes)
     beta = np.zeros(3)
     for _ in range(25):  # Newton steps of a ridge logistic regression

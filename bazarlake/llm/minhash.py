@@ -205,10 +205,11 @@ def classified(
     first = led.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     links = materialize(_confirmed(first.join(n_a, "a").join(n_b, "b").filter(_of_size(percent)).select("a", "b"), sets, percent))
 
-    more = _further_links(bucketed, leaders, links, classes, sets, pairs, percent)
-    merged = components(links.unionAll(more))
-    named_classes = classes.select("cid", "rep", "print").join(merged.withColumnRenamed("node", "cid"), "cid", "left")
-    named_classes = named_classes.withColumn("component", F.coalesce("component", "cid"))
+    so_far = components(links).withColumnRenamed("node", "cid")
+    more = _further_links(bucketed, leaders, so_far, classes, sets, pairs, percent)
+    merged = components(more).select(F.col("node").alias("component"), F.col("component").alias("merged"))
+    named_classes = classes.select("cid", "rep", "print").join(so_far, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+    named_classes = named_classes.join(merged, "component", "left").withColumn("component", F.coalesce("merged", "component"))
     least = materialize(named_classes.groupBy("component").agg(F.min("rep").alias("component_id")))
     lookup = materialize(named_classes.join(least, "component").select("print", "component_id"))
     own = signed.select("doc_id", "text_hash", "n_shingles", "print").join(lookup, "print", "left")
@@ -223,10 +224,9 @@ def classified(
 
 
 def _further_links(
-    bucketed: DataFrame, leaders: DataFrame, links: DataFrame, classes: DataFrame, sets: DataFrame, pairs: list[tuple[int, int]], percent: int
+    bucketed: DataFrame, leaders: DataFrame, so_far: DataFrame, classes: DataFrame, sets: DataFrame, pairs: list[tuple[int, int]], percent: int
 ) -> DataFrame:
-    """Links of classes that are outside their leaders' components."""
-    so_far = components(links).withColumnRenamed("node", "cid")
+    """Links between components, from classes that are outside their leaders' components."""
     placed = materialize(
         bucketed.join(so_far, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     )
@@ -256,7 +256,10 @@ def _further_links(
     # The intersection has at most the shared shingles of either side.
     can = (100 + percent) * F.least("s_a", "s_b") >= percent * (F.col("n_a") + F.col("n_b"))
     met = minor.join(other, "key").filter((F.col("c_a") != F.col("c_b")) & once & can & in_first_table)
-    return materialize(_confirmed(met.select("a", "b").distinct(), sets, percent))
+    found = materialize(_confirmed(met.select("a", "b").distinct(), sets, percent))
+    placed_a = placed.select(F.col("cid").alias("a"), F.col("component").alias("c_a")).distinct()
+    placed_b = placed.select(F.col("cid").alias("b"), F.col("component").alias("c_b")).distinct()
+    return found.join(placed_a, "a").join(placed_b, "b").select(F.col("c_a").alias("a"), F.col("c_b").alias("b")).distinct()
 
 
 def report(docs: DataFrame, **settings) -> DataFrame:

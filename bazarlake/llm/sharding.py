@@ -29,8 +29,10 @@ _NULL_KEY = 0x9E3779B97F4A7C15
 def jump(keys: np.ndarray, shards: int) -> np.ndarray:
     """The published jump consistent hash (Lamping and Veach) for an array of 64-bit keys."""
     state = keys.astype(np.uint64)
-    state = (state ^ (state >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)  # neighbouring ids differ in few bits
-    state ^= state >> np.uint64(29)
+    # Neighbouring ids differ in few bits: spread them first, one to one.
+    state = (state ^ (state >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    state = (state ^ (state >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    state ^= state >> np.uint64(31)
     shard = np.zeros(len(state), np.int64)
     ahead = np.zeros(len(state), np.float64)
     moving = np.arange(len(state))

@@ -44,7 +44,7 @@ def global_row_number(df: DataFrame, order_by: Sequence[Column], name: str) -> D
     offsets = _offsets(rows.groupBy("__slice").agg(F.count("*").alias("__total")))
     ranked = rows.join(F.broadcast(offsets), "__slice")  # as many rows as shuffle partitions
     rank = F.col("__before") + F.col("__place") + 1
-    return ranked.select(*df.columns, rank.cast("int").alias(name))
+    return ranked.select(*df.columns, rank.cast("bigint").alias(name))
 
 
 def running_total(df: DataFrame, order_by: Sequence[Column], weight: str, name: str) -> DataFrame:

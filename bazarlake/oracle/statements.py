@@ -334,7 +334,7 @@ SQL["agg_latest_timestamp"] = (
 
 SQL["win_row_number_global"] = """
 SELECT seller_id, lifetime_order_count, lifetime_product_revenue, CAST(row_number() OVER (
-  ORDER BY lifetime_product_revenue DESC, lifetime_order_count DESC, seller_id) AS INTEGER) AS revenue_rank FROM dim_seller"""
+  ORDER BY lifetime_product_revenue DESC, lifetime_order_count DESC, seller_id) AS BIGINT) AS revenue_rank FROM dim_seller"""
 SQL["win_agg_global"] = """
 SELECT seller_id, gmv_total_value, quantile_disc(gmv_total_value, 0.75) OVER () AS p75_gmv,
   round(avg(late_delivery_rate_pct) OVER (), 6) AS overall_late_rate, round(avg(avg_review_score) OVER (), 6) AS overall_review_score

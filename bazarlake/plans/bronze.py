@@ -56,7 +56,7 @@ def manifest_gate(expected: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def require_complete(gate: DataFrame) -> None:
-    """Stop if a required source is missing."""
-    missing = gate.filter("status = 'missing'").select("source_file").orderBy("source_file").take(20)
+    """Stop if a required source is missing, and name all of them: at most the manifest's rows."""
+    missing = gate.filter("status = 'missing'").select("source_file").orderBy("source_file").collect()
     if missing:
-        raise ValueError("missing sources: " + ", ".join(row.source_file for row in missing))
+        raise ValueError(f"{len(missing)} missing sources: " + ", ".join(row.source_file for row in missing))

@@ -102,10 +102,10 @@ def undocumented(inventory: DataFrame) -> DataFrame:
 
 
 def require_documented(inventory: DataFrame) -> None:
-    """Stop if a column has no meaning."""
-    missing = undocumented(inventory).take(20)
+    """Stop if a column has no meaning, and name all of them: at most one per column of the schema."""
+    missing = undocumented(inventory).collect()
     if missing:
-        raise ValueError("undocumented: " + ", ".join(f"{r.table_name}.{r.column_name}" for r in missing))
+        raise ValueError(f"{len(missing)} undocumented: " + ", ".join(f"{r.table_name}.{r.column_name}" for r in missing))
 
 
 def classified_profile(profile: DataFrame, dictionary: DataFrame) -> DataFrame:

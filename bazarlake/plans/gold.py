@@ -269,7 +269,8 @@ def mart_service_risk(logistics: DataFrame, order_by: str = "severity") -> DataF
         "label": F.desc("service_risk_level"),
     }[order_by]
     order = [lead, F.desc("gmv_total_value"), F.desc("late_delivery_rate_pct"), F.asc_nulls_last("seller_id")]
-    return global_row_number(graded, order, "priority_rank")
+    ranked = global_row_number(graded, order, "priority_rank")
+    return ranked.withColumn("priority_rank", F.col("priority_rank").cast("int"))  # the mart's type
 
 
 def mart_customer_experience(fact: DataFrame) -> DataFrame:

@@ -867,11 +867,11 @@ def fn_unpivot(spark, sf_dir):
 def fn_cast(spark, sf_dir):
     return text_feed(spark, sf_dir, "order_items").select(
         "order_id",
-        F.col("order_item_id").cast("int").alias("item_number"),
-        F.col("price").cast("double").alias("price_double"),
-        F.col("price").cast("decimal(18,2)").alias("price_decimal"),
+        F.col("order_item_id").try_cast("int").alias("item_number"),
+        F.col("price").try_cast("double").alias("price_double"),
+        F.col("price").try_cast("decimal(18,2)").alias("price_decimal"),
         F.col("freight_value").try_cast("int").alias("freight_int"),
-        (F.col("freight_value").cast("int") > 0).cast("string").alias("has_freight"),
+        (F.col("freight_value").try_cast("int") > 0).cast("string").alias("has_freight"),
     )
 
 

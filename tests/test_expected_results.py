@@ -1,4 +1,4 @@
-"""Query results against SQL on the same files. ``BAZARLAKE_ALL=1`` checks every query."""
+"""Every query's result against SQL on the same files."""
 
 import os
 from pathlib import Path
@@ -6,32 +6,12 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry
+from bazarlake.oracle.statements import all_statements
+from bazarlake.registry import all_queries
 from compare import connect, difference
 
 SMALL = os.environ.get("BAZARLAKE_SF_DIR", "/root/testdata/sf0.001")
-CHOSEN = (
-    "record_hash",
-    "quarantine_orders",
-    "quarantine_order_items",
-    "reviews_typed",
-    "order_service",
-    "dim_date",
-    "dim_customer",
-    "fact_order_item_sales",
-    "mart_service_risk",
-    "mart_service_risk_by_label",
-    "kpi_overview",
-    "q1_category",
-    "q2_state",
-    "q3_late_vs_review",
-    "q4_distance",
-    "q5_seller_priority",
-    "q5_category_priority",
-    "join_left_anti_hash",
-    "dq_quarantine_rate",
-    "dq_outlier_percentiles_exact",
-)
-NAMES = tuple(entry.oracle_sql()) if os.environ.get("BAZARLAKE_ALL") else CHOSEN
+NAMES = tuple(all_statements())
 
 pytestmark = pytest.mark.skipif(not Path(SMALL).exists(), reason="supplied tables not present")
 
@@ -47,4 +27,4 @@ def test_query(spark, duck, name):
 
 
 def test_every_expected_result_has_a_query():
-    assert set(entry.oracle_sql()) == set(entry.queries()) - {"dq_outlier_percentiles"}
+    assert set(all_statements()) == set(all_queries()) - {"dq_outlier_percentiles"}

@@ -138,3 +138,11 @@ def test_csv_line_breaks(spark, tmp_path):
     whole = read_csv_text(spark, str(path), feed, multiline=True).collect()
     assert [tuple(r) for r in whole] == [("a\nb", "c")]
     assert read_csv_text(spark, str(path), feed).count() == 2
+
+
+def test_profile_of_awkward_column_names(spark):
+    from bazarlake.operators.profiling import column_profile
+
+    frame = spark.createDataFrame([(1, " "), (None, "x")], "`it's` int, `back``tick\\n` string")
+    rows = {r.column_name: (r.row_count, r.null_count) for r in column_profile(frame, "l", "t").collect()}
+    assert rows == {"it's": (2, 1), "back`tick\\n": (2, 1)}

@@ -12,10 +12,11 @@ No group emits all its pairs:
 2. In each table bucket all classes are compared with one leader, the class that meets most others
    over all tables. Confirmed links join classes to components.
 3. Only classes outside their leader's component are compared further, with the classes of other
-   components in their buckets, and only if enough of their shingles occur elsewhere at all: a
-   shingle of one class alone can be in no intersection, so a class with fewer than ``percent`` of
-   its shingles shared with other candidates can't have a link. This bound loses nothing. A pair
-   that meets in several tables is emitted in the first alone.
+   components in their buckets, and only pairs that can be links by what is known of their leader:
+   an intersection has at most the smaller of both overlaps with the leader, plus the shingles that
+   both have beyond it. Pairs with such a shingle in common are joined on it; all others meet in
+   their bucket and must be able to link by the overlaps alone. This bound loses nothing: it holds
+   for every pair of sets. A pair that meets in several tables is emitted in the first alone.
 
 Defined cases: a null, empty or wordless text has an empty set and links with nothing; a text of
 fewer words than a shingle is one shingle. Every row is a node of its own: rows that repeat an id
@@ -40,6 +41,8 @@ from bazarlake.operators.workdir import materialize
 COLLECTIONS = 12
 ROWS = 3
 _BLOCK = 4096
+#: Longer lists of shingles are not carried along in joins; their pairs pass on counts alone.
+_CARRIED = 256
 _ODD = np.random.default_rng(20240607).integers(1, 1 << 63, (2, 64), dtype=np.uint64) | np.uint64(1)
 
 
@@ -118,38 +121,47 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("cid", "print", "bytes").mapInArrow(built, "cid bigint, members binary")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets have ``100 * intersection >= percent * union``."""
+def _overlaps(pairs: DataFrame, sets: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The pairs (a, b) with the sizes of both sets and of their intersection: n_a, n_b, common."""
 
-    @F.arrow_udf("boolean")
-    def linked(left: pa.Array, right: pa.Array) -> pa.Array:
+    @F.arrow_udf("bigint")
+    def overlap(left: pa.Array, right: pa.Array) -> pa.Array:
         out = []
         for i in range(len(left)):
-            x, y = (np.frombuffer(side[i].as_buffer(), np.uint64) for side in (left, right))
-            both = np.concatenate([x, y])
+            both = np.concatenate([np.frombuffer(side[i].as_buffer(), np.uint64) for side in (left, right)])
             both.sort(kind="stable")
-            common = int((both[1:] == both[:-1]).sum())
-            out.append(100 * common >= percent * (len(both) - common))
-        return pa.array(out, pa.bool_())
+            out.append(int((both[1:] == both[:-1]).sum()))
+        return pa.array(out, pa.int64())
 
     first = sets.select(F.col("cid").alias("a"), F.col("members").alias("left_set"))
     second = sets.select(F.col("cid").alias("b"), F.col("members").alias("right_set"))
-    return pairs.join(first, "a").join(second, "b").filter(linked("left_set", "right_set")).select("a", "b")
+    n_a = sizes.select(F.col("cid").alias("a"), F.col("n_shingles").alias("n_a"))
+    n_b = sizes.select(F.col("cid").alias("b"), F.col("n_shingles").alias("n_b"))
+    counted = pairs.join(first, "a").join(second, "b").select("a", "b", overlap("left_set", "right_set").alias("common"))
+    return counted.join(n_a, "a").join(n_b, "b")
+
 
+def _linked(percent: int):
+    """Whether the sets have ``100 * intersection >= percent * union``."""
+    return (100 + percent) * F.col("common") >= percent * (F.col("n_a") + F.col("n_b"))
 
-def _shared_shingles(sets: DataFrame) -> DataFrame:
-    """(cid, n_shared): how many shingles of each set occur in another one too."""
+
+def _beyond(belongs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(cid, leader, beyond): a set's shingles that its leader lacks and another of that leader has."""
 
     def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(len(batch)):
-                members = np.frombuffer(batch.column("members")[i].as_buffer(), np.int64)
-                cid = np.full(len(members), batch.column("cid")[i].as_py(), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(cid), pa.array(members)], names=["cid", "shingle"])
+                own, lead = (np.frombuffer(batch.column(name)[i].as_buffer(), np.uint64) for name in ("members", "led_by"))
+                lacking = np.setdiff1d(own, lead, assume_unique=True).view(np.int64)
+                ids = [np.full(len(lacking), batch.column(name)[i].as_py(), np.int64) for name in ("cid", "leader")]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*ids, lacking)], names=["cid", "leader", "shingle"])
 
-    rows = sets.mapInArrow(exploded, "cid bigint, shingle bigint")
-    common = materialize(rows.groupBy("shingle").agg(F.count("*").alias("n")).filter("n > 1").select("shingle"))
-    return rows.join(common, "shingle").groupBy("cid").agg(F.count("*").alias("n_shared"))
+    led_by = sets.select(F.col("cid").alias("leader"), F.col("members").alias("led_by"))
+    held = belongs.select("cid", "leader").join(sets, "cid").join(led_by, "leader")
+    rows = held.mapInArrow(exploded, "cid bigint, leader bigint, shingle bigint")
+    common = materialize(rows.groupBy("leader", "shingle").agg(F.count("*").alias("n")).filter("n > 1").select("leader", "shingle"))
+    return rows.join(common, ["leader", "shingle"]).groupBy("cid", "leader").agg(F.collect_list("shingle").alias("beyond"))
 
 
 def _leaders(bucketed: DataFrame) -> DataFrame:
@@ -160,11 +172,6 @@ def _leaders(bucketed: DataFrame) -> DataFrame:
     return best.select("key", (-F.col("best.order")).alias("leader"))
 
 
-def _of_size(percent: int):
-    """Whether sets of sizes n_a and n_b can have the similarity."""
-    return (100 * F.least("n_a", "n_b")) >= percent * F.greatest("n_a", "n_b")
-
-
 def classified(
     docs: DataFrame,
     width: int = 3,
@@ -198,15 +205,13 @@ def classified(
     sets = materialize(_sets(texts, width).dropDuplicates(["cid"]))
 
     sizes = classes.select("cid", "n_shingles")
-    n_a = sizes.select(F.col("cid").alias("a"), F.col("n_shingles").alias("n_a"))
-    n_b = sizes.select(F.col("cid").alias("b"), F.col("n_shingles").alias("n_b"))
     leaders = materialize(_leaders(bucketed))
     led = bucketed.join(leaders, "key").filter("cid <> leader").select(F.col("cid").alias("a"), F.col("leader").alias("b"))
     first = led.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    links = materialize(_confirmed(first.join(n_a, "a").join(n_b, "b").filter(_of_size(percent)).select("a", "b"), sets, percent))
+    overlaps = materialize(_overlaps(first, sets, sizes))
 
-    so_far = components(links).withColumnRenamed("node", "cid")
-    more = _further_links(bucketed, leaders, so_far, classes, sets, pairs, percent)
+    so_far = components(overlaps.filter(_linked(percent))).withColumnRenamed("node", "cid")
+    more = _further_links(bucketed, leaders, so_far, overlaps, classes, sets, pairs, percent)
     merged = components(more).select(F.col("node").alias("component"), F.col("component").alias("merged"))
     named_classes = classes.select("cid", "rep", "print").join(so_far, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     named_classes = named_classes.join(merged, "component", "left").withColumn("component", F.coalesce("merged", "component"))
@@ -223,40 +228,78 @@ def classified(
     )
 
 
+def _side(frame: DataFrame, name: str, *keys: str) -> DataFrame:
+    """One side of a pair, its columns named after it: id, component, size, overlap, shingles beyond."""
+    named = {"c": "component", "n": "n_shingles", "i": "common", "x": "beyond", "h": "halves"}
+    return frame.select(*keys, F.col("cid").alias(name), *[F.col(of).alias(f"{short}_{name}") for short, of in named.items()])
+
+
 def _further_links(
-    bucketed: DataFrame, leaders: DataFrame, so_far: DataFrame, classes: DataFrame, sets: DataFrame, pairs: list[tuple[int, int]], percent: int
+    bucketed: DataFrame,
+    leaders: DataFrame,
+    so_far: DataFrame,
+    overlaps: DataFrame,
+    classes: DataFrame,
+    sets: DataFrame,
+    pairs: list[tuple[int, int]],
+    percent: int,
 ) -> DataFrame:
     """Links between components, from classes that are outside their leaders' components."""
-    placed = materialize(
-        bucketed.join(so_far, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
-    )
+    placed = materialize(bucketed.join(so_far, "cid", "left").withColumn("component", F.coalesce("component", "cid")))
     led = leaders.join(so_far.withColumnRenamed("cid", "leader"), "leader", "left").select(
-        "key", F.coalesce("component", "leader").alias("led")
+        "key", "leader", F.coalesce("component", "leader").alias("led")
     )
-    open_keys = materialize(placed.join(led, "key").filter("component <> led").groupBy("key").agg(F.min("led").alias("led")))
-    members = placed.join(open_keys, "key")
-    concerned = materialize(members.select("cid").distinct())
-    shared = _shared_shingles(sets.join(concerned, "cid"))
-    able = materialize(
-        shared.join(classes.select("cid", "n_shingles", "halves"), "cid").filter(100 * F.col("n_shared") >= percent * F.col("n_shingles"))
-        .select("cid", "n_shingles", "n_shared", "halves")
-    )
-    left = materialize(members.join(able, "cid"))
-    minor = left.filter("component <> led").select(
-        "key", "place", F.col("cid").alias("a"), F.col("component").alias("c_a"), F.col("n_shingles").alias("n_a"), F.col("n_shared").alias("s_a"), F.col("halves").alias("h_a")
+    open_keys = materialize(
+        placed.join(led, "key").filter("component <> led").groupBy("key").agg(F.min("leader").alias("leader"), F.min("led").alias("led"))
     )
-    other = left.select(
-        "key", F.col("cid").alias("b"), F.col("component").alias("c_b"), F.col("led").alias("led_b"), F.col("n_shingles").alias("n_b"), F.col("n_shared").alias("s_b"), F.col("halves").alias("h_b")
+    members = materialize(placed.join(open_keys, "key").filter("cid <> leader"))  # leaders have met all of theirs
+    belongs = materialize(members.select("cid", "leader", "component", "led").distinct())
+    both_ways = overlaps.select(F.col("a").alias("cid"), F.col("b").alias("leader"), "common").unionAll(
+        overlaps.select(F.col("b").alias("cid"), F.col("a").alias("leader"), "common")
     )
+    known = belongs.join(both_ways, ["cid", "leader"]).join(_beyond(belongs, sets), ["cid", "leader"], "left")
+    able = materialize(
+        known.withColumn("beyond", F.coalesce("beyond", F.array().cast("array<bigint>")))
+        .join(classes.select("cid", "n_shingles", "halves"), "cid")
+        .filter(100 * (F.col("common") + F.size("beyond")) >= percent * F.col("n_shingles"))
+    )
+
     # A pair of two minor classes is met from both sides; it counts once, from the smaller id.
-    once = (F.col("c_b") == F.col("led_b")) | (F.col("a") < F.col("b"))
+    once = (F.col("c_a") != F.col("c_b")) & ((F.col("c_b") == F.col("led")) | (F.col("a") < F.col("b")))
     agreeing = F.filter(F.sequence(F.lit(0), F.size("h_a") - 1), lambda k: F.get("h_a", k) == F.get("h_b", k))
+    needed = percent * (F.col("n_a") + F.col("n_b"))
+    by_leader = (100 + percent) * F.least("i_a", "i_b") >= needed
+
+    # Nothing in common beyond the leader: the overlaps with it must suffice, with the smallest set at least.
+    keyed = members.select("key", "place", "cid", "leader").join(able, ["cid", "leader"])
+    smallest = keyed.groupBy("key").agg(F.min("n_shingles").alias("smallest"))
+    enough = (100 + percent) * F.col("common") >= percent * (F.col("n_shingles") + F.col("smallest"))
+    left = materialize(keyed.join(smallest, "key").filter(enough).withColumn("beyond", F.lit(None).cast("array<bigint>")))
     places = F.array(*[F.array(F.lit(i), F.lit(j)) for i, j in pairs])
     in_first_table = F.slice(agreeing, 1, 2) == F.get(places, F.col("place"))
-    # The intersection has at most the shared shingles of either side.
-    can = (100 + percent) * F.least("s_a", "s_b") >= percent * (F.col("n_a") + F.col("n_b"))
-    met = minor.join(other, "key").filter((F.col("c_a") != F.col("c_b")) & once & can & in_first_table)
-    found = materialize(_confirmed(met.select("a", "b").distinct(), sets, percent))
+    met = (
+        _side(left.filter("component <> led"), "a", "key", "place", "led")
+        .join(_side(left, "b", "key"), "key")
+        .filter(once & by_leader & in_first_table)
+    )
+
+    # Shingles in common beyond the leader: each pair counts at the first of them.
+    spread = materialize(
+        able.withColumn("shingle", F.explode("beyond"))
+        .withColumn("n_beyond", F.size("beyond"))
+        .withColumn("beyond", F.when(F.size("beyond") <= _CARRIED, F.col("beyond")))
+    )
+    shared = F.array_intersect("x_a", "x_b")
+    at_most = F.least("i_a", "i_b") + F.least("m_a", "m_b")
+    exact = ((100 + percent) * (F.least("i_a", "i_b") + F.size(shared)) >= needed) & (F.array_min(shared) == F.col("shingle"))
+    unknown = F.col("x_a").isNull() | F.col("x_b").isNull()
+    beyond = (
+        _side(spread.filter("component <> led"), "a", "leader", "shingle", "led", F.col("n_beyond").alias("m_a"))
+        .join(_side(spread, "b", "leader", "shingle", F.col("n_beyond").alias("m_b")), ["leader", "shingle"])
+        .filter(once & ((100 + percent) * at_most >= needed) & (unknown | exact) & (F.size(agreeing) >= 2))
+    )
+    further = met.select("a", "b").unionAll(beyond.select("a", "b")).distinct()
+    found = materialize(_overlaps(further, sets, classes.select("cid", "n_shingles")).filter(_linked(percent)))
     placed_a = placed.select(F.col("cid").alias("a"), F.col("component").alias("c_a")).distinct()
     placed_b = placed.select(F.col("cid").alias("b"), F.col("component").alias("c_b")).distinct()
     return found.join(placed_a, "a").join(placed_b, "b").select(F.col("c_a").alias("a"), F.col("c_b").alias("b")).distinct()

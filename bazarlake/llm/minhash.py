@@ -12,9 +12,9 @@ No group emits all its pairs:
 2. In each table bucket all classes are compared with one leader, the class that meets most others
    over all tables. Confirmed links join classes to components.
 3. Only classes outside their leader's component are compared further, with the classes of other
-   components in their buckets, and only pairs that can be links by what is known of their leader:
-   an intersection has at most the smaller of both overlaps with the leader, plus the shingles that
-   both have beyond it. Pairs with such a shingle in common are joined on it; all others meet in
+   components in their buckets, and only pairs that can be links by what is known of a third set, one
+   of the leaders (the reference): an intersection has at most the smaller of both overlaps with
+   it, plus the shingles that both have beyond it. Pairs with such a shingle in common are joined on it; all others meet in
    their bucket and must be able to link by the overlaps alone. This bound loses nothing: it holds
    for every pair of sets. A pair that meets in several tables is emitted in the first alone.
 
@@ -146,22 +146,27 @@ def _linked(percent: int):
     return (100 + percent) * F.col("common") >= percent * (F.col("n_a") + F.col("n_b"))
 
 
-def _beyond(belongs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(cid, leader, beyond): a set's shingles that its leader lacks and another of that leader has."""
+def _against(belongs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(cid, reference, common, beyond): a set's overlap with its reference; its shingles beyond it
+    that another set with that reference has too."""
 
-    def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            common, lacking = [], []
             for i in range(len(batch)):
-                own, lead = (np.frombuffer(batch.column(name)[i].as_buffer(), np.uint64) for name in ("members", "led_by"))
-                lacking = np.setdiff1d(own, lead, assume_unique=True).view(np.int64)
-                ids = [np.full(len(lacking), batch.column(name)[i].as_py(), np.int64) for name in ("cid", "leader")]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*ids, lacking)], names=["cid", "leader", "shingle"])
+                own, other = (np.frombuffer(batch.column(name)[i].as_buffer(), np.uint64) for name in ("members", "others"))
+                lacking.append(np.setdiff1d(own, other, assume_unique=True).view(np.int64))
+                common.append(len(own) - len(lacking[-1]))
+            columns = [batch.column("cid"), batch.column("reference"), pa.array(common, pa.int64()), pa.array(lacking, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["cid", "reference", "common", "lacking"])
 
-    led_by = sets.select(F.col("cid").alias("leader"), F.col("members").alias("led_by"))
-    held = belongs.select("cid", "leader").join(sets, "cid").join(led_by, "leader")
-    rows = held.mapInArrow(exploded, "cid bigint, leader bigint, shingle bigint")
-    common = materialize(rows.groupBy("leader", "shingle").agg(F.count("*").alias("n")).filter("n > 1").select("leader", "shingle"))
-    return rows.join(common, ["leader", "shingle"]).groupBy("cid", "leader").agg(F.collect_list("shingle").alias("beyond"))
+    others = sets.select(F.col("cid").alias("reference"), F.col("members").alias("others"))
+    held = belongs.select("cid", "reference").join(sets, "cid").join(others, "reference").select("cid", "reference", "members", "others")
+    met = materialize(held.mapInArrow(compared, "cid bigint, reference bigint, common bigint, lacking array<bigint>"))
+    rows = met.select("cid", "reference", F.explode("lacking").alias("shingle"))
+    shared = materialize(rows.groupBy("reference", "shingle").agg(F.count("*").alias("n")).filter("n > 1").select("reference", "shingle"))
+    lists = rows.join(shared, ["reference", "shingle"]).groupBy("cid", "reference").agg(F.collect_list("shingle").alias("beyond"))
+    return met.drop("lacking").join(lists, ["cid", "reference"], "left")
 
 
 def _leaders(bucketed: DataFrame) -> DataFrame:
@@ -211,7 +216,7 @@ def classified(
     overlaps = materialize(_overlaps(first, sets, sizes))
 
     so_far = components(overlaps.filter(_linked(percent))).withColumnRenamed("node", "cid")
-    more = _further_links(bucketed, leaders, so_far, overlaps, classes, sets, pairs, percent)
+    more = _further_links(bucketed, leaders, so_far, classes, sets, pairs, percent)
     merged = components(more).select(F.col("node").alias("component"), F.col("component").alias("merged"))
     named_classes = classes.select("cid", "rep", "print").join(so_far, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     named_classes = named_classes.join(merged, "component", "left").withColumn("component", F.coalesce("merged", "component"))
@@ -238,7 +243,6 @@ def _further_links(
     bucketed: DataFrame,
     leaders: DataFrame,
     so_far: DataFrame,
-    overlaps: DataFrame,
     classes: DataFrame,
     sets: DataFrame,
     pairs: list[tuple[int, int]],
@@ -249,15 +253,16 @@ def _further_links(
     led = leaders.join(so_far.withColumnRenamed("cid", "leader"), "leader", "left").select(
         "key", "leader", F.coalesce("component", "leader").alias("led")
     )
+    # One set that all are measured by for each component that leads: the one that leads most buckets.
+    counts = led.groupBy("led", "leader").agg(F.count("*").alias("n"))
+    references = counts.groupBy("led").agg(F.max_by("leader", F.struct("n", "leader")).alias("reference"))
     open_keys = materialize(
         placed.join(led, "key").filter("component <> led").groupBy("key").agg(F.min("leader").alias("leader"), F.min("led").alias("led"))
-    )
+        .join(references, "led")
+    )
     members = materialize(placed.join(open_keys, "key").filter("cid <> leader"))  # leaders have met all of theirs
-    belongs = materialize(members.select("cid", "leader", "component", "led").distinct())
-    both_ways = overlaps.select(F.col("a").alias("cid"), F.col("b").alias("leader"), "common").unionAll(
-        overlaps.select(F.col("b").alias("cid"), F.col("a").alias("leader"), "common")
-    )
-    known = belongs.join(both_ways, ["cid", "leader"]).join(_beyond(belongs, sets), ["cid", "leader"], "left")
+    belongs = materialize(members.select("cid", "reference", "component", "led").distinct())
+    known = belongs.join(_against(belongs, sets), ["cid", "reference"])
     able = materialize(
         known.withColumn("beyond", F.coalesce("beyond", F.array().cast("array<bigint>")))
         .join(classes.select("cid", "n_shingles", "halves"), "cid")
@@ -268,10 +273,10 @@ def _further_links(
     once = (F.col("c_a") != F.col("c_b")) & ((F.col("c_b") == F.col("led")) | (F.col("a") < F.col("b")))
     agreeing = F.filter(F.sequence(F.lit(0), F.size("h_a") - 1), lambda k: F.get("h_a", k) == F.get("h_b", k))
     needed = percent * (F.col("n_a") + F.col("n_b"))
-    by_leader = (100 + percent) * F.least("i_a", "i_b") >= needed
+    by_reference = (100 + percent) * F.least("i_a", "i_b") >= needed
 
-    # Nothing in common beyond the leader: the overlaps with it must suffice, with the smallest set at least.
-    keyed = members.select("key", "place", "cid", "leader").join(able, ["cid", "leader"])
+    # Nothing in common beyond the reference: the overlaps with it must suffice, with the smallest set at least.
+    keyed = members.select("key", "place", "cid", "reference").join(able, ["cid", "reference"])
     smallest = keyed.groupBy("key").agg(F.min("n_shingles").alias("smallest"))
     enough = (100 + percent) * F.col("common") >= percent * (F.col("n_shingles") + F.col("smallest"))
     left = materialize(keyed.join(smallest, "key").filter(enough).withColumn("beyond", F.lit(None).cast("array<bigint>")))
@@ -280,10 +285,10 @@ def _further_links(
     met = (
         _side(left.filter("component <> led"), "a", "key", "place", "led")
         .join(_side(left, "b", "key"), "key")
-        .filter(once & by_leader & in_first_table)
+        .filter(once & by_reference & in_first_table)
     )
 
-    # Shingles in common beyond the leader: each pair counts at the first of them.
+    # Shingles in common beyond the reference: each pair counts at the first of them.
     spread = materialize(
         able.withColumn("shingle", F.explode("beyond"))
         .withColumn("n_beyond", F.size("beyond"))
@@ -294,8 +299,8 @@ def _further_links(
     exact = ((100 + percent) * (F.least("i_a", "i_b") + F.size(shared)) >= needed) & (F.array_min(shared) == F.col("shingle"))
     unknown = F.col("x_a").isNull() | F.col("x_b").isNull()
     beyond = (
-        _side(spread.filter("component <> led"), "a", "leader", "shingle", "led", F.col("n_beyond").alias("m_a"))
-        .join(_side(spread, "b", "leader", "shingle", F.col("n_beyond").alias("m_b")), ["leader", "shingle"])
+        _side(spread.filter("component <> led"), "a", "reference", "shingle", "led", F.col("n_beyond").alias("m_a"))
+        .join(_side(spread, "b", "reference", "shingle", F.col("n_beyond").alias("m_b")), ["reference", "shingle"])
         .filter(once & ((100 + percent) * at_most >= needed) & (unknown | exact) & (F.size(agreeing) >= 2))
     )
     further = met.select("a", "b").unionAll(beyond.select("a", "b")).distinct()

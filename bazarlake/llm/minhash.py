@@ -11,12 +11,15 @@ No group emits all its pairs:
 1. Documents with equal sets are one class (a grouping that combines before the shuffle).
 2. In each table bucket all classes are compared with one leader, the class that meets most others
    over all tables. Confirmed links join classes to components.
-3. Only classes outside their leader's component are compared further, with the classes of other
-   components in their buckets, and only pairs that can be links by what is known of a third set, one
-   of the leaders (the reference): an intersection has at most the smaller of both overlaps with
-   it, plus the shingles that both have beyond it. Pairs with such a shingle in common are joined on it; all others meet in
-   their bucket and must be able to link by the overlaps alone. This bound loses nothing: it holds
-   for every pair of sets. A pair that meets in several tables is emitted in the first alone.
+3. The classes of a leading component have a consensus: the shingles that most of them hold. All
+   classes in its buckets are measured by it, and those outside the component are compared with its
+   centre, the class nearest the consensus; links join components again.
+4. Only classes that are still outside are compared further, with the classes of other components
+   in their buckets, and only pairs that can be links by what is known of the consensus: an
+   intersection has at most the smaller of both overlaps with it, plus the shingles that both have
+   beyond it. Pairs with such a shingle in common are joined on it; all others meet in their bucket
+   and must be able to link by the overlaps alone. This bound loses nothing: it holds for every pair
+   and every third set. A pair that meets in several tables is emitted in the first alone.
 
 Defined cases: a null, empty or wordless text has an empty set and links with nothing; a text of
 fewer words than a shingle is one shingle. Every row is a node of its own: rows that repeat an id
@@ -36,6 +39,7 @@ from pyspark.sql import functions as F
 
 from bazarlake.llm.common import row_of, utf8, words_of
 from bazarlake.llm.components import components
+from bazarlake.llm.encoding import in_groups
 from bazarlake.operators.workdir import materialize
 
 COLLECTIONS = 12
@@ -43,6 +47,8 @@ ROWS = 3
 _BLOCK = 4096
 #: Longer lists of shingles are not carried along in joins; their pairs pass on counts alone.
 _CARRIED = 256
+#: Shingles that one Arrow batch holds.
+_SPREAD = 1 << 19
 _ODD = np.random.default_rng(20240607).integers(1, 1 << 63, (2, 64), dtype=np.uint64) | np.uint64(1)
 
 
@@ -146,27 +152,47 @@ def _linked(percent: int):
     return (100 + percent) * F.col("common") >= percent * (F.col("n_a") + F.col("n_b"))
 
 
-def _against(belongs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(cid, reference, common, beyond): a set's overlap with its reference; its shingles beyond it
-    that another set with that reference has too."""
+def _consensus(inside: DataFrame, sets: DataFrame) -> DataFrame:
+    """(led, consensus): the shingles that more than half of a component's classes hold."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            members, led = batch.column("members"), batch.column("led").to_numpy()
+            held = [np.frombuffer(members[i].as_buffer(), np.int64) for i in range(len(batch))]
+            for low, high in in_groups([len(h) for h in held], _SPREAD):
+                repeated = np.repeat(led[low:high], [len(h) for h in held[low:high]])
+                yield pa.RecordBatch.from_arrays([pa.array(repeated), pa.array(np.concatenate(held[low:high]))], names=["led", "shingle"])
+
+    rows = inside.join(sets, "cid").select("led", "members").mapInArrow(spread, "led bigint, shingle bigint")
+    counts = rows.groupBy("led", "shingle").agg(F.count("*").alias("n"))
+    classes = inside.groupBy("led").agg(F.count("*").alias("of"))
+    return counts.join(classes, "led").filter("2 * n > of").groupBy("led").agg(F.collect_list("shingle").alias("consensus"))
+
+
+def _against(belongs: DataFrame, sets: DataFrame, consensus: DataFrame) -> DataFrame:
+    """(cid, led, common, apart, beyond): a set's overlap with the consensus, the number of shingles
+    that only one of both has, and the set's shingles beyond it that another set there has too."""
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            common, lacking = [], []
+            common, apart, lacking = [], [], []
             for i in range(len(batch)):
-                own, other = (np.frombuffer(batch.column(name)[i].as_buffer(), np.uint64) for name in ("members", "others"))
-                lacking.append(np.setdiff1d(own, other, assume_unique=True).view(np.int64))
+                own = np.frombuffer(batch.column("members")[i].as_buffer(), np.int64)
+                other = batch.column("consensus")[i].values.to_numpy()
+                lacking.append(np.setdiff1d(own, other, assume_unique=True))
                 common.append(len(own) - len(lacking[-1]))
-            columns = [batch.column("cid"), batch.column("reference"), pa.array(common, pa.int64()), pa.array(lacking, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["cid", "reference", "common", "lacking"])
+                apart.append(len(lacking[-1]) + len(other) - common[-1])
+            columns = [batch.column("cid"), batch.column("led"), pa.array(common, pa.int64()), pa.array(apart, pa.int64())]
+            columns.append(pa.array(lacking, pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays(columns, names=["cid", "led", "common", "apart", "lacking"])
 
-    others = sets.select(F.col("cid").alias("reference"), F.col("members").alias("others"))
-    held = belongs.select("cid", "reference").join(sets, "cid").join(others, "reference").select("cid", "reference", "members", "others")
-    met = materialize(held.mapInArrow(compared, "cid bigint, reference bigint, common bigint, lacking array<bigint>"))
-    rows = met.select("cid", "reference", F.explode("lacking").alias("shingle"))
-    shared = materialize(rows.groupBy("reference", "shingle").agg(F.count("*").alias("n")).filter("n > 1").select("reference", "shingle"))
-    lists = rows.join(shared, ["reference", "shingle"]).groupBy("cid", "reference").agg(F.collect_list("shingle").alias("beyond"))
-    return met.drop("lacking").join(lists, ["cid", "reference"], "left")
+    held = belongs.select("cid", "led").join(sets, "cid").join(consensus, "led", "left")
+    held = held.select("cid", "led", "members", F.coalesce("consensus", F.array().cast("array<bigint>")).alias("consensus"))
+    met = materialize(held.mapInArrow(compared, "cid bigint, led bigint, common bigint, apart bigint, lacking array<bigint>"))
+    rows = met.select("cid", "led", F.explode("lacking").alias("shingle"))
+    shared = materialize(rows.groupBy("led", "shingle").agg(F.count("*").alias("n")).filter("n > 1").select("led", "shingle"))
+    lists = rows.join(shared, ["led", "shingle"]).groupBy("cid", "led").agg(F.collect_list("shingle").alias("beyond"))
+    return met.drop("lacking").join(lists, ["cid", "led"], "left")
 
 
 def _leaders(bucketed: DataFrame) -> DataFrame:
@@ -239,6 +265,25 @@ def _side(frame: DataFrame, name: str, *keys: str) -> DataFrame:
     return frame.select(*keys, F.col("cid").alias(name), *[F.col(of).alias(f"{short}_{name}") for short, of in named.items()])
 
 
+def _between(found: DataFrame, placed: DataFrame) -> DataFrame:
+    """The components (a, b) that links between classes join."""
+    of_a = placed.select(F.col("cid").alias("a"), F.col("component").alias("c_a")).distinct()
+    of_b = placed.select(F.col("cid").alias("b"), F.col("component").alias("c_b")).distinct()
+    return found.join(of_a, "a").join(of_b, "b").select(F.col("c_a").alias("a"), F.col("c_b").alias("b")).distinct()
+
+
+def _centre_links(known: DataFrame, sets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Confirmed links of classes outside a leading component with the class nearest its consensus."""
+    centres = known.filter("component = led").groupBy("led").agg(F.min(F.struct("apart", "cid", "common", "n_shingles")).alias("centre"))
+    beyond = F.least(F.col("n_shingles") - F.col("common"), F.col("centre.n_shingles") - F.col("centre.common"))
+    at_most = F.least("common", "centre.common") + beyond
+    asked = known.filter("component <> led").join(centres, "led").filter(
+        (100 + percent) * at_most >= percent * (F.col("n_shingles") + F.col("centre.n_shingles"))
+    )
+    pairs = asked.select(F.least("cid", "centre.cid").alias("a"), F.greatest("cid", "centre.cid").alias("b")).distinct()
+    return _overlaps(pairs, sets, classes.select("cid", "n_shingles")).filter(_linked(percent))
+
+
 def _further_links(
     bucketed: DataFrame,
     leaders: DataFrame,
@@ -248,47 +293,53 @@ def _further_links(
     pairs: list[tuple[int, int]],
     percent: int,
 ) -> DataFrame:
-    """Links between components, from classes that are outside their leaders' components."""
+    """Links between the components ``so_far``, from classes that are outside their leaders' components."""
     placed = materialize(bucketed.join(so_far, "cid", "left").withColumn("component", F.coalesce("component", "cid")))
     led = leaders.join(so_far.withColumnRenamed("cid", "leader"), "leader", "left").select(
         "key", "leader", F.coalesce("component", "leader").alias("led")
     )
-    # One set that all are measured by for each component that leads: the one that leads most buckets.
-    counts = led.groupBy("led", "leader").agg(F.count("*").alias("n"))
-    references = counts.groupBy("led").agg(F.max_by("leader", F.struct("n", "leader")).alias("reference"))
     open_keys = materialize(
         placed.join(led, "key").filter("component <> led").groupBy("key").agg(F.min("leader").alias("leader"), F.min("led").alias("led"))
-        .join(references, "led")
-    )
-    members = materialize(placed.join(open_keys, "key").filter("cid <> leader"))  # leaders have met all of theirs
-    belongs = materialize(members.select("cid", "reference", "component", "led").distinct())
-    known = belongs.join(_against(belongs, sets), ["cid", "reference"])
-    able = materialize(
-        known.withColumn("beyond", F.coalesce("beyond", F.array().cast("array<bigint>")))
+    )
+    held = materialize(placed.join(open_keys, "key"))
+    belongs = materialize(held.groupBy("cid", "led", "component").agg(F.max(F.col("cid") != F.col("leader")).alias("follows")))
+    consensus = materialize(_consensus(belongs.filter("component = led").select("cid", "led"), sets))
+    known = materialize(
+        belongs.join(_against(belongs, sets, consensus), ["cid", "led"])
+        .withColumn("beyond", F.coalesce("beyond", F.array().cast("array<bigint>")))
         .join(classes.select("cid", "n_shingles", "halves"), "cid")
-        .filter(100 * (F.col("common") + F.size("beyond")) >= percent * F.col("n_shingles"))
     )
+    near = materialize(_between(_centre_links(known, sets, classes, percent), placed))
+
+    # Components as they are with the centres' links; ``led`` still names the group, ``home`` its component.
+    merged = components(near).withColumnRenamed("component", "merged")
+    homes = merged.select(F.col("node").alias("led"), F.col("merged").alias("home"))
+    known = known.join(merged.withColumnRenamed("node", "component"), "component", "left").join(homes, "led", "left")
+    known = known.withColumn("component", F.coalesce("merged", "component")).withColumn("home", F.coalesce("home", "led")).drop("merged")
+    possible = 100 * (F.col("common") + F.size("beyond")) >= percent * F.col("n_shingles")
+    able = materialize(known.filter(F.col("follows") & possible).drop("follows", "apart"))  # leaders have met all of theirs
+    members = held.filter("cid <> leader").select("key", "place", "cid", "led")
 
     # A pair of two minor classes is met from both sides; it counts once, from the smaller id.
-    once = (F.col("c_a") != F.col("c_b")) & ((F.col("c_b") == F.col("led")) | (F.col("a") < F.col("b")))
+    once = (F.col("c_a") != F.col("c_b")) & ((F.col("c_b") == F.col("home")) | (F.col("a") < F.col("b")))
     agreeing = F.filter(F.sequence(F.lit(0), F.size("h_a") - 1), lambda k: F.get("h_a", k) == F.get("h_b", k))
     needed = percent * (F.col("n_a") + F.col("n_b"))
-    by_reference = (100 + percent) * F.least("i_a", "i_b") >= needed
+    by_consensus = (100 + percent) * F.least("i_a", "i_b") >= needed
 
-    # Nothing in common beyond the reference: the overlaps with it must suffice, with the smallest set at least.
-    keyed = members.select("key", "place", "cid", "reference").join(able, ["cid", "reference"])
+    # Nothing in common beyond the consensus: the overlaps with it must suffice, with the smallest set at least.
+    keyed = members.join(able, ["cid", "led"])
     smallest = keyed.groupBy("key").agg(F.min("n_shingles").alias("smallest"))
     enough = (100 + percent) * F.col("common") >= percent * (F.col("n_shingles") + F.col("smallest"))
     left = materialize(keyed.join(smallest, "key").filter(enough).withColumn("beyond", F.lit(None).cast("array<bigint>")))
     places = F.array(*[F.array(F.lit(i), F.lit(j)) for i, j in pairs])
     in_first_table = F.slice(agreeing, 1, 2) == F.get(places, F.col("place"))
     met = (
-        _side(left.filter("component <> led"), "a", "key", "place", "led")
+        _side(left.filter("component <> home"), "a", "key", "place", "home")
         .join(_side(left, "b", "key"), "key")
-        .filter(once & by_reference & in_first_table)
+        .filter(once & by_consensus & in_first_table)
     )
 
-    # Shingles in common beyond the reference: each pair counts at the first of them.
+    # Shingles in common beyond the consensus: each pair counts at the first of them.
     spread = materialize(
         able.withColumn("shingle", F.explode("beyond"))
         .withColumn("n_beyond", F.size("beyond"))
@@ -299,15 +350,13 @@ def _further_links(
     exact = ((100 + percent) * (F.least("i_a", "i_b") + F.size(shared)) >= needed) & (F.array_min(shared) == F.col("shingle"))
     unknown = F.col("x_a").isNull() | F.col("x_b").isNull()
     beyond = (
-        _side(spread.filter("component <> led"), "a", "reference", "shingle", "led", F.col("n_beyond").alias("m_a"))
-        .join(_side(spread, "b", "reference", "shingle", F.col("n_beyond").alias("m_b")), ["reference", "shingle"])
+        _side(spread.filter("component <> home"), "a", "led", "shingle", "home", F.col("n_beyond").alias("m_a"))
+        .join(_side(spread, "b", "led", "shingle", F.col("n_beyond").alias("m_b")), ["led", "shingle"])
         .filter(once & ((100 + percent) * at_most >= needed) & (unknown | exact) & (F.size(agreeing) >= 2))
     )
     further = met.select("a", "b").unionAll(beyond.select("a", "b")).distinct()
     found = materialize(_overlaps(further, sets, classes.select("cid", "n_shingles")).filter(_linked(percent)))
-    placed_a = placed.select(F.col("cid").alias("a"), F.col("component").alias("c_a")).distinct()
-    placed_b = placed.select(F.col("cid").alias("b"), F.col("component").alias("c_b")).distinct()
-    return found.join(placed_a, "a").join(placed_b, "b").select(F.col("c_a").alias("a"), F.col("c_b").alias("b")).distinct()
+    return near.unionAll(_between(found, placed)).distinct()
 
 
 def report(docs: DataFrame, **settings) -> DataFrame:

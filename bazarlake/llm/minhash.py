@@ -311,17 +311,18 @@ def _further_links(
     )
     near = materialize(_between(_centre_links(known, sets, classes, percent), placed))
 
-    # Components as they are with the centres' links; ``led`` still names the group, ``home`` its component.
-    merged = components(near).withColumnRenamed("component", "merged")
-    homes = merged.select(F.col("node").alias("led"), F.col("merged").alias("home"))
-    known = known.join(merged.withColumnRenamed("node", "component"), "component", "left").join(homes, "led", "left")
-    known = known.withColumn("component", F.coalesce("merged", "component")).withColumn("home", F.coalesce("home", "led")).drop("merged")
+    # Within its group, a component that the centre links counts as the leading one.
+    both_ways = near.unionAll(near.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    adjacent = both_ways.select(F.col("a").alias("component"), F.col("b").alias("led"), F.lit(True).alias("linked"))
+    known = known.join(adjacent, ["component", "led"], "left").withColumn(
+        "component", F.when(F.col("linked"), F.col("led")).otherwise(F.col("component"))
+    )
     possible = 100 * (F.col("common") + F.size("beyond")) >= percent * F.col("n_shingles")
-    able = materialize(known.filter(F.col("follows") & possible).drop("follows", "apart"))  # leaders have met all of theirs
+    able = materialize(known.filter(F.col("follows") & possible).drop("follows", "apart", "linked"))  # leaders have met all of theirs
     members = held.filter("cid <> leader").select("key", "place", "cid", "led")
 
     # A pair of two minor classes is met from both sides; it counts once, from the smaller id.
-    once = (F.col("c_a") != F.col("c_b")) & ((F.col("c_b") == F.col("home")) | (F.col("a") < F.col("b")))
+    once = (F.col("c_a") != F.col("c_b")) & ((F.col("c_b") == F.col("led")) | (F.col("a") < F.col("b")))
     agreeing = F.filter(F.sequence(F.lit(0), F.size("h_a") - 1), lambda k: F.get("h_a", k) == F.get("h_b", k))
     needed = percent * (F.col("n_a") + F.col("n_b"))
     by_consensus = (100 + percent) * F.least("i_a", "i_b") >= needed
@@ -334,7 +335,7 @@ def _further_links(
     places = F.array(*[F.array(F.lit(i), F.lit(j)) for i, j in pairs])
     in_first_table = F.slice(agreeing, 1, 2) == F.get(places, F.col("place"))
     met = (
-        _side(left.filter("component <> home"), "a", "key", "place", "home")
+        _side(left.filter("component <> led"), "a", "key", "place", "led")
         .join(_side(left, "b", "key"), "key")
         .filter(once & by_consensus & in_first_table)
     )
@@ -350,7 +351,7 @@ def _further_links(
     exact = ((100 + percent) * (F.least("i_a", "i_b") + F.size(shared)) >= needed) & (F.array_min(shared) == F.col("shingle"))
     unknown = F.col("x_a").isNull() | F.col("x_b").isNull()
     beyond = (
-        _side(spread.filter("component <> home"), "a", "led", "shingle", "home", F.col("n_beyond").alias("m_a"))
+        _side(spread.filter("component <> led"), "a", "led", "shingle", F.col("n_beyond").alias("m_a"))
         .join(_side(spread, "b", "led", "shingle", F.col("n_beyond").alias("m_b")), ["led", "shingle"])
         .filter(once & ((100 + percent) * at_most >= needed) & (unknown | exact) & (F.size(agreeing) >= 2))
     )

@@ -169,10 +169,10 @@ FROM part WHERE p_type <> 'PROMO'"""
 
 CTES["f_geolocation"] = f"""
 SELECT CAST(37 * n_nationkey AS VARCHAR) AS geolocation_zip_code_prefix,
-  {_cents('CASE WHEN j = 3 THEN 5000 ELSE -3000 + 140 * n_nationkey + j END')} AS geolocation_lat,
+  {_cents('CASE WHEN j = 3 OR n_nationkey = 24 THEN 5000 ELSE -3000 + 140 * n_nationkey + j END')} AS geolocation_lat,
   {_cents('-7000 + 150 * n_nationkey + j')} AS geolocation_lng,
   CASE WHEN j = 1 THEN 'vila ' ELSE 'cidade  ' END || n_name AS geolocation_city, ' n' || n_nationkey AS geolocation_state
-FROM nation, range(4) r(j) WHERE n_nationkey < 24"""
+FROM nation, range(4) r(j)"""
 
 FEED_COLUMNS = {
     "customers": "customer_id customer_unique_id customer_zip_code_prefix customer_city customer_state",

@@ -7,8 +7,9 @@ Equal vectors under one label are one class. Each class keeps a list of its near
 2. Rounds: around each class its neighbours, and those that list it, are compared with each other
    (neighbours of neighbours), in chunks of bounded size, until few lists change.
 3. Threshold: list entries of at least the threshold are links; components follow from them.
-4. Saturation: a list that is full of links is too short. Its component is then counted exactly,
-   whatever its size: all members within half the threshold's angle of the centroid are linked with
+4. Saturation: a list that is full of links is too short. Every class that lies within reach of its
+   component's members, by the angle to the centroid, is held against them, so all components that
+   a link joins with it become one. That one is then counted exactly, whatever its size: all members within half the threshold's angle of the centroid are linked with
    each other, so their number is known without listing pairs; the members outside that ball are
    compared, block by block, with the whole component.
 5. Audit: link counts of a bounded sample of classes are compared with brute force over all
@@ -32,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from bazarlake.llm.components import components
 from bazarlake.operators.workdir import materialize
@@ -44,6 +46,7 @@ RECALL = 0.98
 AUDITED = 256
 _BLOCK = 256
 _CHUNK = 64
+_SALTS = 32
 _SETTLED = 0.002
 
 
@@ -191,8 +194,19 @@ def _descend(near: DataFrame, classes: DataFrame, keep: int, rounds: int) -> Dat
     return near
 
 
-def _crowded_counts(members: DataFrame, threshold: float) -> DataFrame:
-    """(cid, linked): exact weights of links for whole components, given (cid, component, unit, copies)."""
+@F.arrow_udf(DoubleType())
+def _angle(units: pa.Array, centers: pa.Array) -> pa.Array:
+    out = []
+    for u, c in zip(units, centers, strict=True):
+        center = np.array(c.as_py())
+        norm = np.linalg.norm(center)
+        cosine = float(np.frombuffer(u.as_buffer()) @ center / norm) if norm > 0 else -1.0
+        out.append(math.acos(max(-1.0, min(1.0, cosine))))
+    return pa.array(out, pa.float64())
+
+
+def _centered(members: DataFrame) -> DataFrame:
+    """The members (component, unit and others) with the angle to their component's ``centroid``."""
     floats = F.arrow_udf(lambda u: pa.array([np.frombuffer(x.as_buffer()) for x in u], pa.list_(pa.float64())), "array<double>")
     sums = (
         members.select("component", F.posexplode(floats("unit")).alias("pos", "x"))
@@ -201,32 +215,109 @@ def _crowded_counts(members: DataFrame, threshold: float) -> DataFrame:
         .groupBy("component")
         .agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "x"))), lambda s: s["x"]).alias("centroid"))
     )
+    return members.join(materialize(sums), "component").withColumn("angle", _angle("unit", "centroid"))
 
-    @F.arrow_udf("double")
-    def angle(units: pa.Array, centers: pa.Array) -> pa.Array:
-        out = []
-        for u, c in zip(units, centers, strict=True):
-            center = np.array(c.as_py())
-            norm = np.linalg.norm(center)
-            cosine = float(np.frombuffer(u.as_buffer()) @ center / norm) if norm > 0 else -1.0
-            out.append(math.acos(max(-1.0, min(1.0, cosine))))
-        return pa.array(out, pa.float64())
 
-    half = math.acos(threshold) / 2 - 1e-6  # the margin is far above rounding
-    placed = materialize(
-        members.join(materialize(sums), "component").withColumn("inside", angle("unit", "centroid") <= half).drop("centroid")
+def _blocks(rows: DataFrame, key: list[str], number: str, columns: list[str], name: str) -> DataFrame:
+    """The rows of each key in blocks of about ``_BLOCK``, each as one array; ``block`` is dealt by the number."""
+    sizes = materialize(rows.groupBy(*key).agg(F.ceil(F.count("*") / _BLOCK).alias("n_blocks")))
+    numbered = rows.join(sizes, key).withColumn("block", F.pmod(F.xxhash64(number), F.col("n_blocks")))
+    return numbered.groupBy(*key, "block").agg(F.collect_list(F.struct(*columns)).alias(name))
+
+
+def _merged(links: DataFrame, placed: DataFrame) -> DataFrame:
+    """``placed`` after links (a, b) between components, with the classes that had no component before."""
+    higher = materialize(components(links).withColumnRenamed("component", "joined"))
+    known = placed.join(higher, placed.component == higher.node, "left").select("cid", F.coalesce("joined", "component").alias("component"))
+    fresh = higher.join(placed.select("component").distinct(), higher.node == F.col("component"), "left_anti")
+    return materialize(known.unionAll(fresh.select(F.col("node").alias("cid"), F.col("joined").alias("component"))))
+
+
+def _met(placed: DataFrame, crowded: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+    """``placed`` after every link of a crowded component's member has joined its two components.
+
+    A class can link with a component only if its angle to the centroid is within the largest of the
+    members' and the threshold's. Such a class is compared with the member nearest to the centroid;
+    if that doesn't link, and its component isn't joined by others, with all members whose own
+    angle to the centroid allows a link.
+    """
+    reach = math.acos(threshold) + 1e-6  # the margin is far above rounding
+    named = materialize(
+        classes.join(placed, "cid", "left").select("cid", F.coalesce("component", "cid").alias("component"), "label", "dim", "unit")
+    )
+    members = materialize(_centered(named.join(crowded, "component")))
+    balls = members.groupBy("component", "label", "dim").agg(
+        F.max("angle").alias("radius"), F.first("centroid").alias("centroid"), F.min_by("unit", F.struct("angle", "cid")).alias("anchor")
     )
+
+    def near_balls(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                left, right = row["classes"], row["balls"]
+                units, anchors = np.stack([np.frombuffer(x["unit"]) for x in left]), np.stack([np.frombuffer(x["anchor"]) for x in right])
+                centers = np.array([x["centroid"] for x in right])
+                norms = np.linalg.norm(centers, axis=1)
+                cosine = np.where(norms > 0, (units @ centers.T) / np.where(norms > 0, norms, 1.0), -1.0)
+                angle = np.arccos(np.clip(cosine, -1.0, 1.0))
+                of, ball = np.array([x["component"] for x in left]), np.array([x["component"] for x in right])
+                other = of[:, None] != ball
+                direct = other & (units @ anchors.T >= threshold)
+                within = other & ~direct & (angle <= np.array([x["radius"] for x in right]) + reach)
+                i, j = np.nonzero(direct)
+                joined = np.unique(np.stack([of[i], ball[j]], axis=1), axis=0)
+                at, to = np.nonzero(within)
+                ids = np.array([x["cid"] for x in left])[at]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.concatenate([joined[:, 0], of[at]]), pa.int64()), pa.array(np.concatenate([joined[:, 1], ball[to]]), pa.int64()),
+                        pa.array([None] * len(joined) + ids.tolist(), pa.int64()), pa.array(np.concatenate([np.zeros(len(joined)), angle[at, to]])),
+                    ],
+                    names=["a", "b", "cid", "angle"],
+                )
+
+    salted = _blocks(named, ["label", "dim"], "cid", ["cid", "component", "unit"], "classes").withColumn("salt", F.pmod("block", F.lit(_SALTS)))
+    every = _blocks(balls, ["label", "dim"], "component", ["component", "radius", "centroid", "anchor"], "balls")
+    every = every.drop("block").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(_SALTS - 1).cast("bigint"))))
+    pairs = salted.drop("block").join(every, ["label", "dim", "salt"]).select("classes", "balls")
+    found = materialize(pairs.mapInArrow(near_balls, "a bigint, b bigint, cid bigint, angle double"))
+    direct = found.filter("cid IS NULL").select("a", "b")
+    once = _merged(direct, placed)
+    # What is left: classes in reach of a ball, of a component that is still another.
+    now = once.select(F.col("cid").alias("at"), F.col("component").alias("joined"))
+    asked = found.filter("cid IS NOT NULL").join(now.withColumnRenamed("joined", "a_now"), F.col("a") == F.col("at"), "left").drop("at")
+    asked = asked.join(now.withColumnRenamed("joined", "b_now"), F.col("b") == F.col("at"), "left").drop("at")
+    asked = materialize(asked.filter("coalesce(a_now, a) <> coalesce(b_now, b)").select("a", F.col("b").alias("component"), "cid", "angle"))
+    if asked.isEmpty():
+        return once
+
+    def touching(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                left, right = row["asked"], row["members"]
+                linked = np.stack([np.frombuffer(x["unit"]) for x in left]) @ np.stack([np.frombuffer(x["unit"]) for x in right]).T >= threshold
+                joined = np.unique(np.array([x["a"] for x in left], np.int64)[linked.any(axis=1)])
+                yield pa.RecordBatch.from_arrays([pa.array(joined), pa.array([row["component"]] * len(joined), pa.int64())], names=["a", "b"])
+
+    # A link's two angles to the centroid differ by the threshold's at most: cells of that width, and those beside them.
+    cell = F.floor(F.col("angle") / reach)
+    with_units = asked.join(named.select("cid", "unit"), "cid").withColumn("cell", cell)
+    cells = members.withColumn("cell", F.explode(F.array(cell - 1, cell, cell + 1)))
+    left = _blocks(with_units, ["component", "cell"], "cid", ["a", "unit"], "asked").drop("block")
+    right = _blocks(cells, ["component", "cell"], "cid", ["unit"], "members").drop("block")
+    touched = left.join(right, ["component", "cell"]).select("component", "asked", "members").mapInArrow(touching, "a bigint, b bigint")
+    return _merged(direct.unionAll(materialize(touched.distinct())), placed)
+
+
+def _crowded_counts(members: DataFrame, threshold: float) -> DataFrame:
+    """(cid, linked): exact weights of links for whole components, given (cid, component, unit, copies)."""
+    half = math.acos(threshold) / 2 - 1e-6  # the margin is far above rounding
+    placed = materialize(_centered(members).withColumn("inside", F.col("angle") <= half).drop("centroid", "angle"))
     weights = placed.filter("inside").groupBy("component").agg(F.sum("copies").alias("weight"))
     inner = placed.filter("inside").join(materialize(weights), "component").select("cid", (F.col("weight") - F.col("copies")).alias("linked"))
     outer = placed.filter("NOT inside")
     if outer.isEmpty():
         return inner
 
-    def blocks(rows: DataFrame, name: str) -> DataFrame:
-        sizes = materialize(rows.groupBy("component").agg(F.ceil(F.count("*") / _BLOCK).alias("n_blocks")))
-        numbered = rows.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("cid"), F.col("n_blocks")))
-        return numbered.groupBy("component", "block").agg(F.collect_list(F.struct("cid", "unit", "copies", "inside")).alias(name)).drop("block")
-
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
@@ -241,7 +332,9 @@ def _crowded_counts(members: DataFrame, threshold: float) -> DataFrame:
                     [pa.array(ids, pa.int64()), pa.array(np.concatenate([to_left, to_right[inside]]), pa.int64())], names=["cid", "linked"]
                 )
 
-    pairs = blocks(outer, "outer").join(blocks(placed, "all"), "component").select("outer", "all")
+    columns = ["cid", "unit", "copies", "inside"]
+    left, right = (_blocks(rows, ["component"], "cid", columns, name).drop("block") for rows, name in ((outer, "outer"), (placed, "all")))
+    pairs = left.join(right, "component").select("outer", "all")
     return inner.unionAll(pairs.mapInArrow(compared, "cid bigint, linked bigint")).groupBy("cid").agg(F.sum("linked").alias("linked"))
 
 
@@ -251,7 +344,11 @@ def _counted(near: DataFrame, classes: DataFrame, threshold: float, keep: int) -
     both = materialize(links.select("u", "v").unionAll(links.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
     placed = components(both.select(F.col("u").alias("a"), F.col("v").alias("b"))).withColumnRenamed("node", "cid")
     full = links.groupBy(F.col("u").alias("cid")).agg(F.count("*").alias("n")).filter(F.col("n") >= keep)
+    full = materialize(full)
     crowded = materialize(full.join(placed, "cid").select("component").distinct())
+    if not crowded.isEmpty():
+        placed = _met(placed, crowded, classes, threshold)
+        crowded = materialize(full.join(placed, "cid").select("component").distinct())
     members = placed.join(crowded, "component").join(classes.select("cid", "unit", "copies"), "cid")
     plain = (
         both.join(classes.select(F.col("cid").alias("v"), "copies"), "v").groupBy(F.col("u").alias("cid")).agg(F.sum("copies").alias("linked"))

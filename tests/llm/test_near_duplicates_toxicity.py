@@ -120,6 +120,24 @@ def test_nn_descent_against_brute_force(spark):
     assert nn_descent.linked(frame.limit(0)).count() == 0
 
 
+def test_full_families_that_link_across(spark):
+    rng = np.random.default_rng(12)
+    rows, n = [], 0
+    for angle, shift in ((0.33, 0.0), (0.52, 0.09)):  # linked by their middles; by every tenth member alone
+        a, b = np.linalg.qr(rng.standard_normal((48, 2)))[0].T
+        b = math.cos(angle) * a + math.sin(angle) * b
+        for center, other in ((a, b), (b, a)):
+            for i in range(75):
+                moved = center + (shift / angle if i % 10 == 0 else 0.0) * (other - center)
+                rows.append((n, (moved + 0.004 * rng.standard_normal(48)).tolist(), 1))
+                n += 1
+    rows += [(5000 + i, rng.standard_normal(48).tolist(), 1) for i in range(600)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int").repartition(5)
+    want = cosine_links(rows)
+    assert {want[i][1] for i in range(150)} == {0} and {want[i][1] for i in range(150, n)} == {150}
+    assert {r.vec_id: (r.n_links, r.component_id) for r in nn_descent.linked(frame).collect()} == want
+
+
 def test_chain_against_enumeration():
     rng = np.random.default_rng(8)
     emission, transition = rng.standard_normal(9), rng.standard_normal((2, 2))

@@ -13,10 +13,13 @@ Equal vectors under one label are one class. Each class keeps a list of its near
    each other, so their number is known without listing pairs; the members outside that ball are
    compared, block by block, with the whole component.
 5. Audit: link counts of a bounded sample of classes are compared with brute force over all
-   classes; below ``RECALL`` the lists are doubled and the rounds go on.
+   classes. Recall is the mean of found by true links over the sampled classes with a link, and
+   likewise over those outside crowded components; the lower of the two counts. Below ``RECALL``
+   the lists are doubled, fresh hyperplanes give further candidates and the rounds go on. If
+   ``PASSES`` of them don't reach it, all pairs of a label are compared, in blocks.
 
 All cosines are in double precision, so no link is below the threshold. Nothing that grows with the
-table goes to the driver; the audit's sample has ``AUDITED`` vectors.
+table goes to the driver; the audit's sample has at most twice ``AUDITED`` vectors.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite parts, and rows without
 label, link with nothing and form a component of their own, under their own id. Vectors of different
@@ -44,6 +47,7 @@ TABLES = 8
 ROUNDS = 4
 RECALL = 0.98
 AUDITED = 256
+PASSES = 4
 _BLOCK = 256
 _CHUNK = 64
 _SALTS = 32
@@ -56,30 +60,28 @@ def _unit(parts: list[float]) -> np.ndarray:
     return v / math.sqrt(float(v @ v))
 
 
-def _codes(units: np.ndarray, tables: int) -> np.ndarray:
-    planes = np.random.default_rng(units.shape[1]).standard_normal((units.shape[1], tables * 32))
+def _codes(units: np.ndarray, tables: int, turn: int) -> np.ndarray:
+    planes = np.random.default_rng([units.shape[1], turn]).standard_normal((units.shape[1], tables * 32))
     bits = (units @ planes > 0).reshape(len(units), tables, 32)
     return (bits * (np.int64(1) << np.arange(31, -1, -1, dtype=np.int64))).sum(axis=2)
 
 
 def _classes(vectors: DataFrame) -> DataFrame:
-    """(cid, label, parts, dim, unit, codes, least, copies), one row for each vector of a label."""
+    """(cid, label, parts, dim, unit, least, copies), one row for each vector of a label."""
     usable = vectors.filter(_usable())
     grouped = usable.groupBy("label", "parts").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"))
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             units = [_unit(p) for p in batch.column("parts").to_pylist()]
-            codes = [_codes(u[None], TABLES)[0] for u in units]
             columns = [batch.column(i) for i in range(batch.num_columns)]
             columns += [
                 pa.array([len(u) for u in units], pa.int32()),
                 pa.array([u.tobytes() for u in units], pa.binary()),
-                pa.array(codes, pa.list_(pa.int64())),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "dim", "unit", "codes"])
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "dim", "unit"])
 
-    schema = "label string, parts array<double>, least bigint, copies bigint, dim int, unit binary, codes array<bigint>"
+    schema = "label string, parts array<double>, least bigint, copies bigint, dim int, unit binary"
     return materialize(grouped.mapInArrow(measured, schema).withColumn("cid", F.monotonically_increasing_id()))
 
 
@@ -107,9 +109,21 @@ def _batch(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordB
 _EDGES = "u bigint, v bigint, cosine double"
 
 
-def _start(classes: DataFrame, keep: int) -> DataFrame:
-    """Candidates from overlapping blocks of the sign-code order."""
-    rows = classes.select("label", "dim", "cid", "unit", F.posexplode("codes").alias("t", "code"))
+def _start(classes: DataFrame, keep: int, turn: int) -> DataFrame:
+    """Candidates from overlapping blocks of the sign-code order; each turn has hyperplanes of its own."""
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            dims = np.array(batch.column("dim").to_pylist())
+            codes = np.zeros((len(dims), TABLES), np.int64)
+            for dim in np.unique(dims):
+                at = np.flatnonzero(dims == dim)
+                codes[at] = _codes(np.stack([np.frombuffer(batch.column("unit")[int(i)].as_buffer()) for i in at]), TABLES, turn)
+            columns = [*batch.columns, pa.array(codes.tolist(), pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "codes"])
+
+    held = classes.select("label", "dim", "cid", "unit").mapInArrow(coded, "label string, dim int, cid bigint, unit binary, codes array<bigint>")
+    rows = held.select("label", "dim", "cid", "unit", F.posexplode("codes").alias("t", "code"))
     order = ["t", "label", "dim", "code", "cid"]
     ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("t", "label", "dim", "cid", "unit")
 
@@ -225,6 +239,25 @@ def _blocks(rows: DataFrame, key: list[str], number: str, columns: list[str], na
     return numbered.groupBy(*key, "block").agg(F.collect_list(F.struct(*columns)).alias(name))
 
 
+def _every(classes: DataFrame, threshold: float, keep: int) -> DataFrame:
+    """Each class's nearest links, from all pairs of its label."""
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                ids, others = (np.array([x["cid"] for x in row[side]]) for side in ("asked", "others"))
+                units, beside = (np.stack([np.frombuffer(x["unit"]) for x in row[side]]) for side in ("asked", "others"))
+                cosine = units @ beside.T
+                cosine[ids[:, None] == others[None, :]] = -2
+                near = np.argsort(-cosine, axis=1)[:, :keep]
+                value = np.take_along_axis(cosine, near, axis=1)
+                held = value >= threshold
+                yield _batch([(np.repeat(ids, held.sum(axis=1)), others[near[held]], value[held])])
+
+    left, right = (_blocks(classes, ["label", "dim"], "cid", ["cid", "unit"], side).drop("block") for side in ("asked", "others"))
+    return left.join(right, ["label", "dim"]).select("asked", "others").mapInArrow(compared, _EDGES)
+
+
 def _merged(links: DataFrame, placed: DataFrame) -> DataFrame:
     """``placed`` after links (a, b) between components, with the classes that had no component before."""
     higher = materialize(components(links).withColumnRenamed("component", "joined"))
@@ -339,7 +372,7 @@ def _crowded_counts(members: DataFrame, threshold: float) -> DataFrame:
 
 
 def _counted(near: DataFrame, classes: DataFrame, threshold: float, keep: int) -> DataFrame:
-    """(cid, component, linked) of the classes that have a link."""
+    """(cid, component, linked, crowded) of the classes that have a link."""
     links = near.filter(F.col("cosine") >= threshold)
     both = materialize(links.select("u", "v").unionAll(links.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
     placed = components(both.select(F.col("u").alias("a"), F.col("v").alias("b"))).withColumnRenamed("node", "cid")
@@ -352,16 +385,20 @@ def _counted(near: DataFrame, classes: DataFrame, threshold: float, keep: int) -
     members = placed.join(crowded, "component").join(classes.select("cid", "unit", "copies"), "cid")
     plain = (
         both.join(classes.select(F.col("cid").alias("v"), "copies"), "v").groupBy(F.col("u").alias("cid")).agg(F.sum("copies").alias("linked"))
-        .join(placed.join(crowded, "component", "left_anti"), "cid").select("cid", "linked")
+        .join(placed.join(crowded, "component", "left_anti"), "cid").select("cid", "linked", F.lit(False).alias("crowded"))
     )
-    return materialize(plain.unionAll(_crowded_counts(materialize(members), threshold)).join(placed, "cid"))
+    exact = _crowded_counts(materialize(members), threshold).select("cid", "linked", F.lit(True).alias("crowded"))
+    return materialize(plain.unionAll(exact).join(placed, "cid"))
 
 
 def _recall(counted: DataFrame, classes: DataFrame, threshold: float) -> float:
-    """Share of the brute-force links of a bounded sample that were found."""
-    sample = classes.orderBy(F.xxhash64("least"), "cid").limit(AUDITED).join(counted, "cid", "left").select(
-        "cid", "label", "dim", "unit", F.coalesce("linked", F.lit(0)).alias("linked")
-    ).collect()
+    """Mean share of a class's brute-force links that were found, over bounded samples of the classes with
+    a link: of all, and of those outside crowded components; the lower one."""
+    named = classes.join(counted, "cid", "left").select(
+        "cid", "label", "dim", "unit", "least", F.coalesce("linked", F.lit(0)).alias("linked"), F.coalesce("crowded", F.lit(False)).alias("crowded")
+    )
+    order = [F.xxhash64("least"), "cid"]
+    sample = list({r.cid: r for rows in (named, named.filter("NOT crowded")) for r in rows.orderBy(*order).limit(AUDITED).collect()}.values())
     shared = classes.sparkSession.sparkContext.broadcast([(r.cid, r.label, r.dim, bytes(r.unit)) for r in sample])
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -370,7 +407,7 @@ def _recall(counted: DataFrame, classes: DataFrame, threshold: float) -> float:
             asked.setdefault((label, dim), []).append((cid, np.frombuffer(unit)))
         for batch in batches:
             labels, dims, ids = (batch.column(c).to_pylist() for c in ("label", "dim", "cid"))
-            copies, total = np.array(batch.column("copies").to_pylist()), 0
+            copies, total = np.array(batch.column("copies").to_pylist()), {}
             by_group: dict = {}
             for i, key in enumerate(zip(labels, dims, strict=True)):
                 if key in asked:
@@ -379,11 +416,15 @@ def _recall(counted: DataFrame, classes: DataFrame, threshold: float) -> float:
                 units = np.stack([np.frombuffer(batch.column("unit")[i].as_buffer()) for i in at])
                 for cid, unit in asked[key]:
                     hit = (units @ unit >= threshold) & (np.array(ids)[at] != cid)
-                    total += int(copies[at][hit].sum())
-            yield pa.RecordBatch.from_arrays([pa.array([total], pa.int64())], names=["n"])
+                    if hit.any():
+                        total[cid] = total.get(cid, 0) + int(copies[at][hit].sum())
+            yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.int64()) for x in (total.keys(), total.values())], names=["cid", "n"])
 
-    there = classes.select("label", "dim", "cid", "copies", "unit").mapInArrow(exact, "n bigint").agg(F.sum("n")).first()[0] or 0
-    return sum(r.linked for r in sample) / there if there else 1.0
+    counts = classes.select("label", "dim", "cid", "copies", "unit").mapInArrow(exact, "cid bigint, n bigint").groupBy("cid").agg(F.sum("n"))
+    there = dict(map(tuple, counts.collect()))
+    shares = [(min(1.0, r.linked / there[r.cid]), r.crowded) for r in sample if r.cid in there]
+    parts = [[s for s, _ in shares], [s for s, crowded in shares if not crowded]]
+    return min((sum(part) / len(part) for part in parts if part), default=1.0)
 
 
 def linked(
@@ -401,14 +442,17 @@ def linked(
     )
     classes = _classes(vectors)
     keep = neighbours
-    near = _nearest(_start(classes, keep), keep)
-    for _ in range(3):
+    near = _nearest(_start(classes, keep, 0), keep)
+    for turn in range(1, PASSES + 1):
         near = _descend(near, classes, keep, rounds)
         counted = _counted(near, classes, threshold, keep)
         if _recall(counted, classes, threshold) >= RECALL:
             break
+        if turn == PASSES:
+            counted = _counted(_nearest(_every(classes, threshold, keep), keep), classes, threshold, keep)
+            break
         keep *= 2
-        near = _nearest(near.unionAll(_start(classes, keep)), keep)
+        near = _nearest(near.unionAll(_start(classes, keep, turn)), keep)
     named = classes.select("cid", "label", "parts", "least", "copies").join(counted, "cid", "left")
     named = named.withColumn("component", F.coalesce("component", "cid"))
     least = materialize(named.groupBy("component").agg(F.min("least").alias("component_id")))

@@ -138,6 +138,33 @@ def test_full_families_that_link_across(spark):
     assert {r.vec_id: (r.n_links, r.component_id) for r in nn_descent.linked(frame).collect()} == want
 
 
+def test_missed_links_beside_a_hot_group_are_noticed(spark, monkeypatch):
+    rng = np.random.default_rng(14)
+    center = rng.standard_normal(24)
+    rows = [(i, (center + 0.01 * rng.standard_normal(24)).tolist(), 1) for i in range(60)]
+    for i in range(40):
+        v = rng.standard_normal(24)
+        rows += [(100 + 2 * i + k, (v + 0.05 * rng.standard_normal(24)).tolist(), 1) for k in range(2)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int").repartition(2)
+    want = cosine_links(rows)
+    turns, start = [], nn_descent._start
+
+    def poor(classes, keep, turn):  # knows the hot group alone
+        turns.append(turn)
+        hot = classes.filter("least < 100").select("cid")
+        return start(classes, keep, turn).join(hot, F.col("u") == F.col("cid"), "left_semi").join(hot, F.col("v") == F.col("cid"), "left_semi")
+
+    monkeypatch.setattr(nn_descent, "_start", poor)
+    monkeypatch.setattr(nn_descent, "PASSES", 2)
+    assert {r.vec_id: (r.n_links, r.component_id) for r in nn_descent.linked(frame).collect()} == want
+    assert turns == [0, 1]
+
+
+def test_hyperplanes_differ_by_turn():
+    units = np.random.default_rng(15).standard_normal((50, 24))
+    assert not (nn_descent._codes(units, 8, 0) == nn_descent._codes(units, 8, 1)).any()
+
+
 def test_chain_against_enumeration():
     rng = np.random.default_rng(8)
     emission, transition = rng.standard_normal(9), rng.standard_normal((2, 2))

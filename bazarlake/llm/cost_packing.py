@@ -2,7 +2,7 @@
 
 A piece of ``n`` tokens costs ``LINEAR * n + QUADRATIC * n * n``: the layers' work grows with the
 tokens, that of attention with the square of each piece. Pieces are taken by descending cost and
-go to the sequence of the lowest cost that still has room for them. The number of sequences is what
+go to the sequence of the lowest cost among all that still have room for them. The number of sequences is what
 the tokens need, so almost nothing is padded; a piece that fits nowhere whole is cut over the
 emptiest sequences, and the last few tokens of a group form sequences of power-of-two lengths,
 which batches of their own shape run without padding.
@@ -53,6 +53,33 @@ def _powers(n: int) -> list[int]:
     return [1 << b for b in reversed(range(n.bit_length())) if n >> b & 1]
 
 
+class _Open:
+    """Sequences by the room they have left: a heap by cost for each room, and the least cost of each."""
+
+    def __init__(self, capacity: int):
+        self.heaps: list[list[tuple[float, int]]] = [[] for _ in range(capacity + 1)]
+        self.least = np.full(capacity + 1, np.inf)
+        self.most = 0  # no sequence has more room than this
+
+    def put(self, room: int, cost: float, b: int) -> None:
+        if room:
+            heapq.heappush(self.heaps[room], (cost, b))
+            self.least[room] = self.heaps[room][0][0]
+            self.most = max(self.most, room)
+
+    def holds(self, length: int) -> bool:
+        while self.most and not self.heaps[self.most]:
+            self.most -= 1
+        return self.most >= length
+
+    def cheapest(self, length: int) -> tuple[float, int]:
+        """Takes out the sequence of the lowest cost among all that have room for the length."""
+        room = length + int(self.least[length : self.most + 1].argmin())
+        found = heapq.heappop(self.heaps[room])
+        self.least[room] = self.heaps[room][0][0] if self.heaps[room] else np.inf
+        return found
+
+
 def pack(lengths: list[int], capacity: int = CAPACITY, linear: float = LINEAR, quadratic: float = QUADRATIC) -> list[Piece]:
     """Places every token of the documents once; sequences are numbered from 0, offsets are gapless."""
     out: list[Piece] = []
@@ -69,27 +96,20 @@ def pack(lengths: list[int], capacity: int = CAPACITY, linear: float = LINEAR, q
     bins = total // capacity
     rooms = [capacity] * bins + _powers(total % capacity)
     fill = [0] * len(rooms)
-    # Sequences of full capacity by cost. The short ones at the end take what is left over.
-    open_by_cost = [(0.0, b) for b in range(bins)]
+    # Sequences of full capacity come first. The short ones at the end take what fits in none of them.
+    full, short = _Open(capacity), _Open(capacity)
+    for b, room in enumerate(rooms):
+        (full if b < bins else short).put(room, 0.0, b)
     left: list[tuple[int, int, int]] = []
     for length, document, start in sorted(tails, key=lambda t: (-t[0], t[1], t[2])):
-        aside, placed = [], False
-        while open_by_cost:
-            cost, b = heapq.heappop(open_by_cost)
-            if rooms[b] - fill[b] >= length:
-                out.append(Piece(document, start, length, sequence + b, fill[b]))
-                fill[b] += length
-                if fill[b] < rooms[b]:
-                    heapq.heappush(open_by_cost, (cost + linear * length + quadratic * length * length, b))
-                placed = True
-                break
-            aside.append((cost, b))
-            if len(aside) == 64:  # the cheapest are full for this length: cut it later
-                break
-        for entry in aside:
-            heapq.heappush(open_by_cost, entry)
-        if not placed:
+        held = full if full.holds(length) else short
+        if not held.holds(length):
             left.append((length, document, start))
+            continue
+        cost, b = held.cheapest(length)
+        out.append(Piece(document, start, length, sequence + b, fill[b]))
+        fill[b] += length
+        held.put(rooms[b] - fill[b], cost + linear * length + quadratic * length * length, b)
     gaps = sorted(((rooms[b] - fill[b], b) for b in range(len(rooms)) if fill[b] < rooms[b]), key=lambda g: (-g[0], g[1]))
     k = 0
     for length, document, start in left:

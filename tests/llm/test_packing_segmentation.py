@@ -48,6 +48,28 @@ def test_costs_are_balanced():
     assert len(costs) >= len(rows) - 10 and costs.std() < 0.08 * costs.mean()
 
 
+def test_dearer_sequences_are_found_behind_many_full_ones():
+    rng = np.random.default_rng(3)
+    lengths = [401] * 700 + [int(x) for x in rng.integers(1, 1024, 1400)]
+    pieces = cost_packing.pack(lengths)
+    check_cover([(p.document, p.start, p.length) for p in pieces], lengths)
+    bins, rest = divmod(sum(lengths), 1024)
+    room = [1024] * bins + [1 << b for b in reversed(range(11)) if rest >> b & 1]
+    cost, cut, whole = [0.0] * len(room), set(), []
+    for d in sorted(range(len(lengths)), key=lambda d: (-lengths[d], d)):
+        n = lengths[d]
+        fits = [b for b in range(bins) if room[b] >= n] or [b for b in range(bins, len(room)) if room[b] >= n]
+        if fits:
+            b = min(fits, key=lambda b: cost[b])
+            room[b] -= n
+            cost[b] += n + n * n / 1024
+            whole.append(cost[b])
+        else:
+            cut.add(d)
+    parts = Counter(p.document for p in pieces)
+    assert {d for d, n in parts.items() if n > 1} <= cut and len(parts) - len(cut) == len(whole)
+
+
 def test_packed_rows(awkward, empty, tokenizer):
     library = tokenizer_of(tokenizer)
     rows = cost_packing.packed(awkward, tokenizer, group_tokens=50_000).collect()

@@ -15,7 +15,8 @@ are built together, by the number of characters left, and all words take a step
 follows the batch, or the longest text if that is longer. Noise is hashed from the row's key, the sample and the place in the
 text, so a row's samples depend on nothing else and repeat in every run.
 
-Words of more than ``LONGEST`` characters are cut into parts of that length, which no piece crosses.
+A run without a space, however long, is one word, and its lattice is whole; the steps of a batch
+follow its longest word.
 
 Defined cases: a null or empty text has one path of no pieces, with log-probability 0 and score 1; a
 text with fewer paths than asked for gives all of them, each with score 1; rows that repeat a key
@@ -39,9 +40,8 @@ from bazarlake.llm.encoding import in_groups
 
 SAMPLES = 3
 POWER = 1.0
-LONGEST = 64
 _SPACE = "▁"
-_WORDS = re.compile(f"{_SPACE}{{0,{LONGEST}}}[^{_SPACE}]{{1,{LONGEST}}}|{_SPACE}{{1,{LONGEST}}}")
+_WORDS = re.compile(f"{_SPACE}*[^{_SPACE}]+|{_SPACE}+")
 _BATCH_CHARS = 3 << 20
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _STEP, _WORD, _SAMPLE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03), np.uint64(0x8CB92BA72F3D8DD7)

@@ -167,6 +167,35 @@ def test_all_paths_of_a_small_lattice_are_found():
     assert all(p["inclusion"] == 1.0 for p in found)
 
 
+def forward(vocabulary, full):
+    """log of the summed weights of all paths."""
+    total = [0.0] + [-math.inf] * len(full)
+    for j in range(1, len(full) + 1):
+        ends = [total[i] + vocabulary.weight[full[i:j]][1] for i in range(max(0, j - vocabulary.longest), j) if full[i:j] in vocabulary.weight]
+        if full[j - 1] not in vocabulary.weight:
+            ends.append(total[j - 1] + len(full[j - 1].encode()) * vocabulary.byte_weight)
+        total[j] = np.logaddexp.reduce(ends)
+    return total[-1]
+
+
+def test_a_long_run_has_its_whole_lattice():
+    vocabulary = segmentation.Vocabulary(MODEL, power=0.05)
+    trie, bare = segmentation.Trie(vocabulary), chr(0x13000)
+    assert bare not in vocabulary.weight and "th" in vocabulary.weight
+    text = bare * 62 + "th" + bare * 3 + "th"
+    paths = all_paths(vocabulary, text)
+    (found,) = segmentation.sample_texts([text], np.array([3], np.uint64), 1000, trie, vocabulary)
+    assert {tuple(p["ids"].tolist()) for p in found} == set(paths)
+    assert all(abs(p["log_prob"] - paths[tuple(p["ids"].tolist())]) < 1e-9 for p in found)
+    text = "".join(np.random.default_rng(9).choice(list("etaoinshr\n東é"), 700)) + " " * 90 + "a" * 200
+    weight = dict(vocabulary.weight.values()) | dict.fromkeys(vocabulary.byte.values(), vocabulary.byte_weight)
+    z = forward(vocabulary, "▁" + text.replace(" ", "▁"))
+    (found,) = segmentation.sample_texts([text], np.array([5], np.uint64), 3, trie, vocabulary)
+    for p in found:
+        assert vocabulary.decode(p["ids"]).decode() == text
+        assert abs(p["log_prob"] - (sum(weight[i] for i in p["ids"].tolist()) - z)) < 1e-6
+
+
 def test_segmentation_rows(awkward, empty):
     rows = segmentation.sampled(awkward, MODEL).collect()
     assert all(r.round_trip for r in rows)

@@ -15,6 +15,7 @@ from bazarlake.llm import (
     quality_rules,
     segmentation,
     sharding,
+    spelling,
     token_counts,
     toxicity,
 )
@@ -66,9 +67,14 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.counted(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_minhash_near_dedup, op2_cost_packing, op3_nn_descent, op4_toxicity, op5_sharding, op6_quality_rules,
     op7_line_dedup, op8_segmentation, op9_matrix_packing, op10_token_counts,
+    op11_spelling_variants,
 )} | {"pipeline": corpus_pipeline.run}
 
 ORACLE_SQL = dict(SQL) | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

@@ -1,4 +1,4 @@
-"""The byte network: chunks and pooling against a plain version, its gradient, held-out accuracy."""
+"""The byte network: chunks and pooling against a plain version, the fit, held-out accuracy."""
 
 import zlib
 
@@ -52,7 +52,8 @@ def test_fit_goes_down_and_needs_both_classes():
     def loss(n):
         return -np.log(np.concatenate([b.scores_of(prose, n), 1 - b.scores_of(junk, n)])).mean()
 
-    assert loss(net) < loss(early) < np.log(2)
+    assert loss(net) < loss(early)
+    assert loss(net) < 0.2 < np.log(2)  # of knowing nothing
     assert set(b.scores_of([b"", b"x"], b.fit_sample([b"x"], [1])).tolist()) == {0.5}
     assert set(b.scores_of([b"", b"x"], b.fit_sample([], [])).tolist()) == {0.5}
 

@@ -78,14 +78,21 @@ def chunks_of(text: bytes) -> np.ndarray:
 
 
 def _pooled(chunks: np.ndarray, net: Network, where: bool = False):
-    """Largest response of each filter in each chunk, before the bias; on demand the window it is in."""
+    """Largest response of each filter in each chunk, before the bias; on demand the window it is in.
+
+    Always as many chunks at a time, the last ones filled up: products of one shape are rounded
+    alike, so equal texts get equal scores wherever they stand.
+    """
+    filled = np.full((_CHUNKS_AT_ONCE, _CHUNK), _NONE, np.int16)
     best = np.empty((len(chunks), FILTERS), np.float32)
     at = np.empty((len(chunks), FILTERS), np.int64) if where else None
     for low in range(0, len(chunks), _CHUNKS_AT_ONCE):
         part = chunks[low : low + _CHUNKS_AT_ONCE]
-        values = net.embed[part].reshape(len(part), _CHUNK * EMBED)
+        filled[: len(part)] = part
+        values = net.embed[filled].reshape(_CHUNKS_AT_ONCE, _CHUNK * EMBED)
         windows = np.lib.stride_tricks.sliding_window_view(values, WIDTH * EMBED, axis=1)[:, :: STEP * EMBED]
-        response = (windows.reshape(-1, WIDTH * EMBED) @ net.filters).reshape(len(part), WINDOWS, FILTERS)
+        product = windows.reshape(-1, WIDTH * EMBED) @ net.filters
+        response = product.reshape(_CHUNKS_AT_ONCE, WINDOWS, FILTERS)[: len(part)]
         if where:
             at[low : low + len(part)] = response.argmax(axis=1)
         best[low : low + len(part)] = response.max(axis=1)
@@ -112,21 +119,9 @@ def scores_of(texts: list[bytes], net: Network) -> np.ndarray:
         return np.full(len(texts), 0.5)
     parts = [chunks_of(t) for t in texts]
     starts, sizes = _bounds(parts)
-    pooled = np.concatenate([np.maximum(_pooled(p, net)[0] + net.bias, 0) for p in _packed(parts)])
-    return _probability(_combined(pooled, starts, sizes).astype(float) @ net.last + net.shift)
-
-
-def _packed(parts: list[np.ndarray]) -> Iterator[np.ndarray]:
-    """Chunks of several short texts together, those of long ones by themselves."""
-    held: list[np.ndarray] = []
-    for p in parts:
-        if len(p) >= _CHUNKS_AT_ONCE or sum(map(len, held)) >= _CHUNKS_AT_ONCE:
-            if held:
-                yield np.concatenate(held)
-            held = []
-        held.append(p)
-    if held:
-        yield np.concatenate(held)
+    response, _ = _pooled(parts[0] if len(parts) == 1 else np.concatenate(parts), net)
+    pooled = np.maximum(response + net.bias, 0)
+    return _probability((_combined(pooled, starts, sizes) * net.last).sum(axis=1) + net.shift)
 
 
 # ---------------------------------------------------------------- fit

@@ -23,7 +23,7 @@ one half; an empty table gives an empty table.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +59,7 @@ class Network:
     bias: np.ndarray
     last: np.ndarray | None
     shift: float = 0.0
+    scale: float = 1.0
 
 
 def _fresh() -> Network:
@@ -69,6 +70,17 @@ def _fresh() -> Network:
     return Network(embed, filters, np.zeros(FILTERS, np.float32), None)
 
 
+def _in_whole_numbers(net: Network) -> Network:
+    """Embedding and filters as whole numbers and one scale.
+
+    No sum of a window's products exceeds 2 ** 24, so single floats hold it exactly in whatever
+    order it is taken: equal texts get equal scores wherever they stand.
+    """
+    most = (1 << 24) // (WIDTH * EMBED * 255)
+    embed, filters = np.abs(net.embed).max() / 255, np.abs(net.filters).max() / most
+    return replace(net, embed=np.rint(net.embed / embed), filters=np.rint(net.filters / filters), scale=float(embed * filters))
+
+
 def chunks_of(text: bytes) -> np.ndarray:
     """Overlapping chunks of byte numbers, the last one filled up; one chunk at least."""
     count = max(1, -(-max(0, len(text) - (WIDTH - STEP)) // _STRIDE))
@@ -78,25 +90,18 @@ def chunks_of(text: bytes) -> np.ndarray:
 
 
 def _pooled(chunks: np.ndarray, net: Network, where: bool = False):
-    """Largest response of each filter in each chunk, before the bias; on demand the window it is in.
-
-    Always as many chunks at a time, the last ones filled up: products of one shape are rounded
-    alike, so equal texts get equal scores wherever they stand.
-    """
-    filled = np.full((_CHUNKS_AT_ONCE, _CHUNK), _NONE, np.int16)
+    """Largest response of each filter in each chunk, before the bias; on demand the window it is in."""
     best = np.empty((len(chunks), FILTERS), np.float32)
     at = np.empty((len(chunks), FILTERS), np.int64) if where else None
     for low in range(0, len(chunks), _CHUNKS_AT_ONCE):
         part = chunks[low : low + _CHUNKS_AT_ONCE]
-        filled[: len(part)] = part
-        values = net.embed[filled].reshape(_CHUNKS_AT_ONCE, _CHUNK * EMBED)
+        values = net.embed[part].reshape(len(part), _CHUNK * EMBED)
         windows = np.lib.stride_tricks.sliding_window_view(values, WIDTH * EMBED, axis=1)[:, :: STEP * EMBED]
-        product = windows.reshape(-1, WIDTH * EMBED) @ net.filters
-        response = product.reshape(_CHUNKS_AT_ONCE, WINDOWS, FILTERS)[: len(part)]
+        response = (windows.reshape(-1, WIDTH * EMBED) @ net.filters).reshape(len(part), WINDOWS, FILTERS)
         if where:
             at[low : low + len(part)] = response.argmax(axis=1)
         best[low : low + len(part)] = response.max(axis=1)
-    return best, at
+    return best * np.float32(net.scale), at
 
 
 def _combined(pooled: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -180,7 +185,7 @@ def fit_sample(texts: list[bytes], good: list[int], epochs: int = EPOCHS, batch:
             ):
                 learnt[name].step(gradient, rate)
     net.shift = float(shift[0])
-    return net
+    return _in_whole_numbers(net)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

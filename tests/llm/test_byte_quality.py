@@ -19,7 +19,7 @@ def plain_score(text, net):
         best = np.full(b.FILTERS, -np.inf)
         for w in range(b.WINDOWS):
             at = (c * b.WINDOWS + w) * b.STEP
-            best = np.maximum(best, net.embed[padded[at : at + b.WIDTH]].ravel() @ net.filters)
+            best = np.maximum(best, net.embed[padded[at : at + b.WIDTH]].ravel() @ net.filters * net.scale)
         pooled.append(np.maximum(best + net.bias, 0))
     x = np.concatenate([np.mean(pooled, axis=0), np.max(pooled, axis=0)])
     return 1 / (1 + np.exp(-(x @ net.last + net.shift)))
@@ -39,7 +39,7 @@ def test_scores_against_plain_windows():
     texts = [b"", b"a", prose[0], junk[0], long, prose[1] * 3, b"x" * (b._CHUNK - 1), b"x" * b._CHUNK, b"x" * (b._CHUNK + 1), long]
     got = b.scores_of(texts, net)
     assert np.allclose(got, [plain_score(t, net) for t in texts], atol=1e-4)
-    assert np.allclose(b.scores_of(prose, net), np.concatenate([b.scores_of([t], net) for t in prose]), atol=1e-5)
+    assert (b.scores_of(prose, net) == np.concatenate([b.scores_of([t], net) for t in prose])).all()  # to the last bit
     assert (b.scores_of(prose, net) > 0.5).mean() > 0.95 and (b.scores_of(junk, net) < 0.5).mean() > 0.95
     # The last bytes of a long text count: the junk there lies in no prefix.
     assert abs(b.scores_of([b" ".join(prose)], net)[0] - got[4]) > 1e-6

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from bazarlake.llm import (
+    alignment,
     byte_quality,
     cost_packing,
     line_dedup,
@@ -77,10 +78,14 @@ def op12_byte_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_quality.scored(docs, byte_quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.report(table(spark, sf_dir, "documents"), TOKENIZER, PIECES)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_minhash_near_dedup, op2_cost_packing, op3_nn_descent, op4_toxicity, op5_sharding, op6_quality_rules,
     op7_line_dedup, op8_segmentation, op9_matrix_packing, op10_token_counts,
-    op11_spelling_variants, op12_byte_quality,
+    op11_spelling_variants, op12_byte_quality, op13_token_alignment,
 )} | {"pipeline": corpus_pipeline.run}
 
 ORACLE_SQL = dict(SQL) | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

@@ -38,6 +38,23 @@ def mean2_money(name: str) -> Column:
     return (_quotient(F.sum(cents), F.count(column), 0) / 100).cast(MONEY)
 
 
+def mean_parts(name: str, money: bool = False) -> dict[str, Column]:
+    """The two sums of a mean, for a grouping that is summed once more."""
+    column = F.col(name)
+    cents = (column * 100).cast("bigint") if money else hundredths(column)
+    return {f"__{name}_sum": F.sum(cents), f"__{name}_rows": F.count(column)}
+
+
+def mean_of_parts(name: str, money: bool = False) -> Column:
+    """The mean from the summed parts, as ``mean2`` or ``mean2_money`` gives it."""
+    mean = _quotient(F.col(f"__{name}_sum"), F.col(f"__{name}_rows"), 0) / 100
+    return mean.cast(MONEY if money else "double")
+
+
+def percent_of(hits: Column, total: Column) -> Column:
+    return _percent(hits, total)
+
+
 def _percent(hits: Column, total: Column) -> Column:
     return (_quotient(hits * 10000, total, 0) / 100).cast("double")
 

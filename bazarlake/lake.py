@@ -7,17 +7,18 @@ layers one after the other, each reading the written tables before it, as a batc
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import datetime
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from bazarlake.functions.lineage import with_gold_lineage, with_silver_lineage
+from bazarlake.operators.quarantine import VERDICT, accepted_side, judged, rejected_side
 from bazarlake.plans import bronze as bronze_plans
 from bazarlake.plans import gold, silver
 from bazarlake.sources.feeds import FEEDS
-from bazarlake.sources.files import read_table, write_table
+from bazarlake.sources.store import FolderStore, Store
 
 
 class Lake:
@@ -193,15 +194,24 @@ GOLD_TABLES = (
 LAYERS = {"bronze": BRONZE_TABLES, "silver": SILVER_TABLES, "gold": GOLD_TABLES}
 
 
+LAYER_OF = {name: layer for layer, names in LAYERS.items() for name in names}
+#: Tables that may well be empty.
+MAY_BE_EMPTY = ("silver_quarantine_orders", "silver_quarantine_order_items")
+
+
 class WrittenLake(Lake):
-    """A lake whose tables are read from the folder they were written to."""
+    """A lake whose tables are read from where they were written: a folder, or any other store."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        super().__init__(lambda name: read_table(spark, root, FEEDS[name].table))
-        self._spark, self.root = spark, root
+    def __init__(self, spark: SparkSession, where: str | Store):
+        self.store = FolderStore(where) if isinstance(where, str) else where
+        super().__init__(lambda name: self.store.read(spark, "bronze", FEEDS[name].table))
+        self._spark = spark
+        self.root = getattr(self.store, "root", None)
+        #: Rows per table, as counted by the writes of ``build``.
+        self.counts: dict[str, int] = {}
 
     def table(self, name: str) -> DataFrame:
-        return read_table(self._spark, self.root, name)
+        return self.store.read(self._spark, LAYER_OF[name], name)
 
     def pin(self, name: str) -> None:
         """Let later tables read the written one instead of its plan."""
@@ -210,22 +220,88 @@ class WrittenLake(Lake):
     def tables(self) -> list[tuple[str, str, DataFrame]]:
         return [(layer, name, self.table(name)) for layer, names in LAYERS.items() for name in names]
 
+    def judge(self, entity: str) -> None:
+        """Write the typed rows once, partitioned by verdict; both sides then read their own files."""
+        typed, rules, once = _JUDGED[entity]
+        rows = judged(getattr(self, typed), rules())
+        name = f"judged_{entity}"
+        self.store.write(rows, "silver", name, by=[VERDICT])
+        written = self.store.read(self._spark, "silver", name, schema=rows.schema)
+        self.__dict__[f"silver_{entity}"] = once(accepted_side(written))
+        self.__dict__[f"silver_quarantine_{entity}"] = rejected_side(written)
+
+    def gate(self, layer: str) -> DataFrame:
+        """The layer's tables with their rows and ``present`` or ``missing``."""
+        return table_gate(self._spark, layer, LAYERS[layer], self.counts)
+
+
+_JUDGED = {
+    "orders": ("orders_typed", silver.order_rules, silver.orders_once),
+    "order_items": ("items_typed", silver.item_rules, silver.order_items_once),
+}
+
+
+def table_gate(spark: SparkSession, layer: str, expected: Sequence[str], counts: dict[str, int]) -> DataFrame:
+    """One row per expected table. A table without rows counts as missing, but for quarantines."""
+    rows = []
+    for name in expected:
+        n = counts.get(name)
+        present = n is not None and (n > 0 or name in MAY_BE_EMPTY)
+        rows.append((layer, name, n or 0, "present" if present else "missing"))
+    return spark.createDataFrame(rows, "layer string, table_name string, row_count bigint, status string")
+
+
+def require_tables(layer: str, expected: Sequence[str], counts: dict[str, int]) -> None:
+    """Stop if a table of the layer was not written or has no rows, and name all of them."""
+    missing = [n for n in expected if n not in counts or (counts[n] == 0 and n not in MAY_BE_EMPTY)]
+    if missing:
+        raise ValueError(f"{layer}: {len(missing)} missing or empty tables: " + ", ".join(missing))
+
 
 def build(
     spark: SparkSession,
     feed: Callable[[str], DataFrame],
-    root: str,
+    where: str | Store,
     run_id: str,
     run_ts: datetime | None = None,
 ) -> WrittenLake:
-    """Write all bronze, silver and gold tables under ``root`` and return them."""
+    """Write all bronze, silver and gold tables under a folder or into a catalog and return them.
+
+    Rows are counted by the writes themselves. After each layer the build stops if one of its
+    tables has none, before anything is built on it; after the last one it stops if a column has
+    no meaning in the dictionary. Orders and items are read from bronze once: accepted and rejected
+    rows come from one write.
+    """
+    lake = WrittenLake(spark, where)
     for source in FEEDS.values():
         stamped = bronze_plans.stamped(feed(source.name), source, run_id, run_ts)
-        write_table(stamped, root, source.table)
-    lake = WrittenLake(spark, root)
+        lake.counts[source.table] = lake.store.write(stamped, "bronze", source.table)
+    require_tables("bronze", BRONZE_TABLES, lake.counts)
     stamps = {"silver": with_silver_lineage, "gold": with_gold_lineage}
     for layer, stamp in stamps.items():
         for name in LAYERS[layer]:
-            write_table(stamp(getattr(lake, name), run_id, run_ts), root, name)
-            lake.pin(name)
+            if name in ("silver_orders", "silver_order_items"):
+                lake.judge(name.removeprefix("silver_"))
+            lake.counts[name] = lake.store.write(stamp(getattr(lake, name), run_id, run_ts), layer, name)
+            if not name.startswith("silver_quarantine"):
+                lake.pin(name)
+        require_tables(layer, LAYERS[layer], lake.counts)
+    for name in LAYER_OF:
+        lake.pin(name)
+    require_declared([(layer, name, df.columns) for layer, name, df in lake.tables()])
     return lake
+
+
+def require_declared(tables: Sequence[tuple[str, str, Sequence[str]]]) -> None:
+    """Stop if a written table has a column without a meaning, by the tables' schemas alone."""
+    from bazarlake.plans import glossary  # the glossary is written in terms of this module's layers
+
+    unknown = [
+        f"{name}.{column}"
+        for _, name, columns in tables
+        for column in columns
+        if column not in glossary.COMMON_GLOSSARY
+        and not (column in glossary.TABLE_COLUMNS.get(name, ()) and glossary.GLOSSARY.get(column, "").strip())
+    ]
+    if unknown:
+        raise ValueError(f"{len(unknown)} undocumented columns: " + ", ".join(unknown))

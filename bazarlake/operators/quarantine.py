@@ -30,3 +30,26 @@ def accepted(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 def rejected(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return df.filter(is_bad(rules)).withColumn("quarantine_reason", reasons(rules))
+
+
+# Values of the verdict column, by which a judged table is partitioned.
+VERDICT, ACCEPTED, REJECTED = "verdict", "accepted", "rejected"
+
+
+def judged(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Every row with its reasons and verdict, for one write that holds both sides.
+
+    The rules are evaluated once: a row without a reason is accepted.
+    """
+    marked = df.withColumn("quarantine_reason", F.nullif(reasons(rules), F.lit("")))
+    verdict = F.when(F.col("quarantine_reason").isNull(), ACCEPTED).otherwise(REJECTED)
+    return marked.withColumn(VERDICT, verdict)
+
+
+def accepted_side(judged_rows: DataFrame) -> DataFrame:
+    """Read from a table partitioned by verdict, this prunes the rejected files."""
+    return judged_rows.filter(F.col(VERDICT) == ACCEPTED).drop(VERDICT, "quarantine_reason")
+
+
+def rejected_side(judged_rows: DataFrame) -> DataFrame:
+    return judged_rows.filter(F.col(VERDICT) == REJECTED).drop(VERDICT)

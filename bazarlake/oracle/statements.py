@@ -270,6 +270,9 @@ SELECT i.order_id, order_item_id, order_status, price FROM silver_order_items i
 SQL["join_left_sql"] = """
 SELECT i.order_id, i.order_item_id, p.product_category_name, i.item_gmv
 FROM fact_order_item_sales i LEFT JOIN dim_product p ON i.product_id = p.product_id"""
+SQL["join_left_heavy"] = """
+SELECT i.order_id, i.order_item_id, i.product_id, i.item_gmv, p.product_category_name
+FROM fact_order_item_sales i LEFT JOIN dim_product p ON i.product_id = p.product_id"""
 SQL["join_left_anti_hash"] = """
 SELECT order_id, record_hash FROM orders_typed t
 WHERE NOT EXISTS (SELECT 1 FROM l_quarantine_orders b WHERE b.record_hash = t.record_hash)"""

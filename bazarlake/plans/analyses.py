@@ -10,8 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bazarlake.functions.bands import DISTANCE_ORDER, position_in
-from bazarlake.functions.rates import mean2, mean2_money, tristate_rate_pct
+from bazarlake.functions.rates import mean2, mean2_money, mean_of_parts, mean_parts, percent_of, tristate_rate_pct
 from bazarlake.functions.text import NOT_AVAILABLE, or_not_available
+from bazarlake.operators.distinct import distinct_counts
+from bazarlake.operators.heavy_join import split_join
 from bazarlake.operators.workdir import materialize
 
 # Report sizes, least volume of a group and the revenue percentile.
@@ -40,11 +42,10 @@ def _level(name: str) -> Column:
 
 
 def kpi_overview(fact: DataFrame) -> DataFrame:
-    """Twelve figures over all orders, one row."""
-    return fact.agg(
+    """Twelve figures over all orders, one row. Persons and sellers are counted over their own column."""
+    people = distinct_counts(fact, [], {"customer_unique_id": "total_customers", "seller_id": "total_reference_sellers"})
+    figures = fact.agg(
         F.count("order_id").alias("total_orders"),
-        F.countDistinct("customer_unique_id").alias("total_customers"),
-        F.countDistinct("seller_id").alias("total_reference_sellers"),
         F.sum("gmv_total_value").alias("gmv_total_value"),
         mean2_money("gmv_total_value").alias("avg_ticket_value"),
         F.sum("product_total_value").alias("product_revenue_value"),
@@ -55,6 +56,9 @@ def kpi_overview(fact: DataFrame) -> DataFrame:
         mean2("delivery_delay_days").alias("avg_delay_days"),
         mean2("review_score_avg").alias("avg_review_score"),
     )
+    return figures.crossJoin(F.broadcast(people)).select(  # one row each
+        "total_orders", "total_customers", "total_reference_sellers", *figures.columns[1:]
+    )
 
 
 # ---------------------------------------------------------------- 1: concentration
@@ -83,9 +87,9 @@ ITEM_SALES = (
 
 def with_category(items: DataFrame, products: DataFrame) -> DataFrame:
     """Items with the category of their product. An item of an unknown product is not_available;
-    a product whose category is blank keeps the blank."""
+    a product whose category is blank keeps the blank. Items of a frequent product are spread."""
     categories = products.select("product_id", F.col("product_category_name").alias("__category"))
-    joined = items.join(categories, "product_id", "left")
+    joined = split_join(items, categories, ["product_id"], spread=["order_id"])
     return joined.withColumn("category", or_not_available(F.col("__category"))).drop("__category")
 
 
@@ -103,28 +107,34 @@ def q1_seller(items: DataFrame, size: int = TOP_SELLERS) -> DataFrame:
     return _top_sales(items, "seller_id", "seller", size)
 
 
-def with_state(fact: DataFrame, customers: DataFrame) -> DataFrame:
-    """Orders with the state of their person's address in the customer dimension."""
-    return fact.join(customers.select("customer_unique_id", "customer_state"), "customer_unique_id", "left")
+def by_state(fact: DataFrame, customers: DataFrame, measures: dict[str, Column]) -> DataFrame:
+    """Additive measures per state of the person's address in the customer dimension.
+
+    They are summed per person before the join, so a frequent (or missing) person reaches it as
+    one row, and once more per state.
+    """
+    per_person = fact.groupBy("customer_unique_id").agg(*[measure.alias(name) for name, measure in measures.items()])
+    placed = per_person.join(customers.select("customer_unique_id", "customer_state"), "customer_unique_id", "left")
+    per_state = placed.groupBy(F.col("customer_state").alias("analysis_group"))
+    kinds = dict(per_person.dtypes)
+    return per_state.agg(*[F.sum(name).cast(kinds[name]).alias(name) for name in measures])
 
 
 def q1_state(fact: DataFrame, customers: DataFrame) -> DataFrame:
-    by_state = with_state(fact, customers).groupBy(F.col("customer_state").alias("analysis_group"))
-    sales = by_state.agg(
-        F.count("order_id").alias("order_count"),
-        F.sum("product_total_value").alias("product_revenue_value"),
-        F.sum("freight_total_value").alias("freight_total_value"),
-        F.sum("gmv_total_value").alias("gmv_total_value"),
-        mean2_money("gmv_total_value").alias("avg_ticket_value"),
+    totals = ("product_total_value", "freight_total_value", "gmv_total_value")
+    sales = by_state(
+        fact,
+        customers,
+        {"order_count": F.count("order_id")} | {name: F.sum(name) for name in totals} | mean_parts("gmv_total_value", money=True),
     )
     return sales.select(
         "analysis_group",
         _level("customer_state"),
         "order_count",
-        "product_revenue_value",
+        F.col("product_total_value").alias("product_revenue_value"),
         "freight_total_value",
         "gmv_total_value",
-        "avg_ticket_value",
+        mean_of_parts("gmv_total_value", money=True).alias("avg_ticket_value"),
     ).orderBy(F.desc("product_revenue_value"), "analysis_group")
 
 
@@ -172,24 +182,24 @@ def q2_category(items: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def q2_state(fact: DataFrame, customers: DataFrame) -> DataFrame:
-    delivered = with_state(fact.filter("is_delivered"), customers)
-    metrics = delivered.groupBy(F.col("customer_state").alias("analysis_group")).agg(
-        F.count("order_id").alias("delivered_order_count"),
-        _on_time_pct(),
-        mean2("delivery_delay_days").alias("avg_delay_days"),
-        mean2("actual_delivery_days").alias("avg_delivery_days"),
-        mean2("review_score_avg").alias("avg_review_score"),
-    )
+    means = {
+        "delivery_delay_days": "avg_delay_days",
+        "actual_delivery_days": "avg_delivery_days",
+        "review_score_avg": "avg_review_score",
+    }
+    on_time = F.col("is_delivery_on_time")
+    measures = {"delivered_order_count": F.count("order_id"), "hits": F.count_if(on_time), "judged": F.count(on_time)}
+    for name in means:
+        measures |= mean_parts(name)
+    metrics = by_state(fact.filter("is_delivered"), customers, measures)
     enough = metrics.filter(F.col("delivered_order_count") >= MIN_ORDERS)
     return _worst_first(
         enough.select(
             "analysis_group",
             _level("customer_state"),
             "delivered_order_count",
-            "on_time_delivery_rate_pct",
-            "avg_delay_days",
-            "avg_delivery_days",
-            "avg_review_score",
+            percent_of(F.col("hits"), F.col("judged")).alias("on_time_delivery_rate_pct"),
+            *[mean_of_parts(name).alias(alias) for name, alias in means.items()],
         )
     )
 

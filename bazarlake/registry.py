@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazarlake.functions import bands, lineage, rates, text, typed
-from bazarlake.lake import Lake, WrittenLake, build
+from bazarlake.lake import LAYERS, Lake, WrittenLake, build
 from bazarlake.operators.dedupe import keep_one
 from bazarlake.operators.distinct import distinct_counts
 from bazarlake.operators.heavy_join import split_join
@@ -27,10 +27,24 @@ RUN_ID = "20240101T000000Z"
 RUN_TS = datetime(2024, 1, 1)
 
 _QUERIES: dict[str, Query] = {}
-# Per session and folder. A Lake holds plans only, so sharing it saves analysis, not execution.
-_PLANS: dict[tuple[str, str], Lake] = {}
-_WRITTEN: dict[tuple[str, str], WrittenLake] = {}
-_PROFILES: dict[tuple[str, str], DataFrame] = {}
+# Per session, folder and state of its files: if a table changes, nothing old is given. A Lake holds
+# plans only, so sharing it saves analysis, not execution.
+_Key = tuple[str, str, int]
+_PLANS: dict[_Key, Lake] = {}
+_WRITTEN: dict[_Key, WrittenLake] = {}
+_PROFILES: dict[_Key, DataFrame] = {}
+
+
+def _key(spark: SparkSession, sf_dir: str) -> _Key:
+    """Session, folder, and a hash over names, sizes and times of the files below it."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(sf_dir)
+    files_below = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(path, True)
+    state = []
+    while files_below.hasNext():
+        status = files_below.next()
+        state.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return spark.sparkContext.applicationId, sf_dir, hash(tuple(sorted(state)))
 
 
 def query(function: Query) -> Query:
@@ -44,7 +58,7 @@ def all_queries() -> dict[str, Query]:
 
 def lake_of(spark: SparkSession, sf_dir: str) -> Lake:
     """All tables as lazy plans over the supplied tables."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = _key(spark, sf_dir)
     if key not in _PLANS:
         _PLANS[key] = Lake(lambda name: text_feed(spark, sf_dir, name))
     return _PLANS[key]
@@ -61,7 +75,7 @@ def stamped_lake_of(spark: SparkSession, sf_dir: str) -> Lake:
 
 def written_lake_of(spark: SparkSession, sf_dir: str) -> WrittenLake:
     """All layers written once per session, for the reports that look at every table."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = _key(spark, sf_dir)
     if key not in _WRITTEN:
         root = fresh_folder(spark, "lake")
         _WRITTEN[key] = build(spark, lambda name: text_feed(spark, sf_dir, name), root, RUN_ID, RUN_TS)
@@ -88,6 +102,32 @@ def src_csv_text(spark, sf_dir):
     return files.read_csv_text(spark, _csv_copy(spark, sf_dir, "orders"), FEEDS["orders"])
 
 
+def _damaged_csv(spark: SparkSession, sf_dir: str) -> str:
+    """The orders as CSV lines, some with a field too many, one too few, or a quote that never closes."""
+    orders, name = text_feed(spark, sf_dir, "orders"), FEEDS["orders"].columns
+    k = F.try_to_number(F.trim("order_id"), F.lit("999999999999"))
+    whole = F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in name])
+    line = (
+        F.when(k % 97 == 1, F.concat(whole, F.lit(",extra")))
+        .when(k % 89 == 1, F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in name[:-1]]))
+        .when(k % 83 == 1, F.concat(F.lit('"'), whole))
+        .otherwise(whole)
+    )
+    path = f"{fresh_folder(spark, 'landing')}/{FEEDS['orders'].file}"
+    orders.select(line.alias("value")).write.text(path)
+    return path
+
+
+@query
+def src_csv_checked(spark, sf_dir):
+    """Records per reject reason of a damaged CSV; those without a reason are the accepted ones."""
+    records = files.read_csv_checked(spark, _damaged_csv(spark, sf_dir), FEEDS["orders"])
+    reason = F.coalesce(files.REJECT_REASON, F.lit("accepted"))
+    return records.groupBy(reason.alias("verdict")).agg(
+        F.count("*").alias("record_count"), F.count("order_status").alias("status_count")
+    )
+
+
 @query
 def src_table(spark, sf_dir):
     return _written_copy(spark, text_feed(spark, sf_dir, "products"), "bronze_products")
@@ -156,6 +196,13 @@ def layer_manifest_gate(spark, sf_dir):
     return bronze.manifest_gate(bronze.expected_files(spark), found)
 
 
+@query
+def layer_gates(spark, sf_dir):
+    """Tables of all three layers with the rows that their writes counted."""
+    lake = written_lake_of(spark, sf_dir)
+    return quality.union_all([lake.gate(layer) for layer in LAYERS])
+
+
 # ---------------------------------------------------------------- cleaning expressions
 
 
@@ -983,7 +1030,7 @@ def dq_drilldown(spark, sf_dir):
 
 def _profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Column profile of the written layers, computed once per session: one row per column."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = _key(spark, sf_dir)
     if key not in _PROFILES:
         _PROFILES[key] = materialize(quality.column_profiles(written_lake_of(spark, sf_dir).tables()))
     return _PROFILES[key]

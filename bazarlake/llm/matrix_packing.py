@@ -88,6 +88,12 @@ def best_fit(lengths: list[int], capacity: int = CAPACITY) -> list[list[tuple[in
     return rows
 
 
+def _as_binary(matrix: np.ndarray) -> pa.Array:
+    """Each row of a matrix as one binary value, over the matrix' own memory."""
+    offsets = np.arange(len(matrix) + 1, dtype=np.int32) * matrix.shape[1] * matrix.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(matrix), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(matrix)])
+
+
 _SCHEMA = (
     "sequence_id bigint, n_tokens int, doc_ids array<bigint>, doc_starts array<bigint>, doc_tokens array<bigint>, "
     "cu_seqlens array<int>, input_ids binary, position_ids binary"
@@ -102,25 +108,30 @@ def packed(
     held = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), text_or_empty(text).alias("text"))
     places = np.dtype("<u2" if capacity <= 1 << 16 else "<u4")
     names = [part.split()[0] for part in _SCHEMA.split(", ")]
-    types = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary()]
+    types = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32())]
 
     def flush(ids: list, tokens: list[np.ndarray], first: int) -> Iterator[pa.RecordBatch]:
         rows = best_fit([len(t) for t in tokens], capacity)
+        places_up = np.arange(capacity, dtype=places)
         for low in range(0, len(rows), 256):
-            columns: list[list] = [[] for _ in names]
-            for number, row in enumerate(rows[low : low + 256], first + low):
-                ends = np.cumsum([0] + [length for _, _, length in row])
-                line = np.full(capacity, end_id, tokens[row[0][0]].dtype)
-                position = np.zeros(capacity, places)
-                for (document, start, length), at in zip(row, ends, strict=False):
-                    line[at : at + length] = tokens[document][start : start + length]
-                    position[at : at + length] = np.arange(length)
+            part = rows[low : low + 256]
+            lines = np.full((len(part), capacity), end_id, tokens[0].dtype)
+            positions = np.zeros((len(part), capacity), places)
+            columns: list[list] = [[] for _ in names[:6]]
+            for k, row in enumerate(part):
+                ends = [0]
+                for document, start, length in row:
+                    at = ends[-1]
+                    lines[k, at : at + length] = tokens[document][start : start + length]
+                    positions[k, at : at + length] = places_up[:length]
+                    ends.append(at + length)
                 values = (
-                    number, int(ends[-1]), [ids[d] for d, _, _ in row], [s for _, s, _ in row], [len(tokens[d]) for d, _, _ in row], ends.tolist(), line.tobytes(), position.tobytes()
+                    first + low + k, ends[-1], [ids[d] for d, _, _ in row], [s for _, s, _ in row], [len(tokens[d]) for d, _, _ in row], ends
                 )
                 for column, value in zip(columns, values, strict=True):
                     column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+            arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)] + [_as_binary(lines), _as_binary(positions)]
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(tokenizer)

@@ -111,8 +111,8 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def cleaned(docs: DataFrame, text: str = "text", length: str = "n_chars") -> DataFrame:
-    """Rows with the cleaned text and its length; rows that lose every line go, for their text is elsewhere."""
-    done = deduplicated(docs, text=text).filter((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines")))
+    """All rows with the cleaned text and its length. A row that loses every line stays with an empty text."""
+    done = deduplicated(docs, text=text)
     cells = {c: F.col("__row")[c] for c in docs.columns}
     cells[text] = F.col("text")
     if length in cells:

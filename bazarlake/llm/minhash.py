@@ -34,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bazarlake.llm.common import row_of, utf8, words_of
@@ -211,14 +211,20 @@ def classified(
     rows: int = ROWS,
     doc_id: str = "doc_id",
     text: str = "text",
+    with_survivor: bool = False,
 ) -> DataFrame:
-    """Per row: ``doc_id``, ``text_hash``, ``n_shingles``, ``component_id``, ``kept``."""
+    """Per row: ``doc_id``, ``text_hash``, ``n_shingles``, ``component_id``, ``kept``.
+
+    On demand also ``survivor``: true for the rows of one id and text per component, the smallest
+    by (id, text hash) with null ids last, and for every row without words.
+    """
     named = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     signed = materialize(
         _signatures(named.select("doc_id", F.xxhash64("text").alias("text_hash"), utf8().alias("bytes")), width, collections, rows)
     )
     grouped = signed.filter("print IS NOT NULL").groupBy("print", "n_shingles").agg(
-        F.min("doc_id").alias("rep"), F.min(F.struct("doc_id", "text_hash")).alias("source"), F.first("halves").alias("halves")
+        F.min("doc_id").alias("rep"), F.min(F.struct("doc_id", "text_hash")).alias("source"), F.first("halves").alias("halves"),
+        *([F.min(_place()).alias("first_row")] if with_survivor else []),
     )
     classes = materialize(grouped.withColumn("cid", F.monotonically_increasing_id()))
 
@@ -244,10 +250,11 @@ def classified(
     so_far = components(overlaps.filter(_linked(percent))).withColumnRenamed("node", "cid")
     more = _further_links(bucketed, leaders, so_far, classes, sets, pairs, percent)
     merged = components(more).select(F.col("node").alias("component"), F.col("component").alias("merged"))
-    named_classes = classes.select("cid", "rep", "print").join(so_far, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+    held = ["first_row"] if with_survivor else []
+    named_classes = classes.select("cid", "rep", "print", *held).join(so_far, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     named_classes = named_classes.join(merged, "component", "left").withColumn("component", F.coalesce("merged", "component"))
-    least = materialize(named_classes.groupBy("component").agg(F.min("rep").alias("component_id")))
-    lookup = materialize(named_classes.join(least, "component").select("print", "component_id"))
+    least = materialize(named_classes.groupBy("component").agg(F.min("rep").alias("component_id"), *[F.min(c).alias(c) for c in held]))
+    lookup = materialize(named_classes.drop(*held).join(least, "component").select("print", "component_id", *held))
     own = signed.select("doc_id", "text_hash", "n_shingles", "print").join(lookup, "print", "left")
     component = F.when(F.col("print").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return own.select(
@@ -256,9 +263,15 @@ def classified(
         "n_shingles",
         component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"),
+        *([(F.col("print").isNull() | (_place() == F.col("first_row"))).alias("survivor")] if with_survivor else []),
     )
 
 
+def _place() -> Column:
+    """Order of the rows of a component: by id and text hash, null ids last."""
+    return F.struct(F.col("doc_id").isNull().alias("no_id"), F.coalesce(F.col("doc_id"), F.lit(0)).alias("id"), "text_hash")
+
+
 def _side(frame: DataFrame, name: str, *keys: str) -> DataFrame:
     """One side of a pair, its columns named after it: id, component, size, overlap, shingles beyond."""
     named = {"c": "component", "n": "n_shingles", "i": "common", "x": "beyond", "h": "halves"}
@@ -365,11 +378,12 @@ def report(docs: DataFrame, **settings) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
-    """One row of each group of near-duplicates, with all its columns: that of the smallest id.
+    """One row of each group of near-duplicates, with all its columns: the smallest by id, then by text hash.
 
-    Rows that repeat both id and text are one document.
+    So exactly one row stays of a group whose rows share an id or have none. Rows that repeat both
+    id and text are one document.
     """
-    found = classified(docs, doc_id=doc_id, text=text, **settings).filter("kept").select("doc_id", "text_hash").distinct()
+    found = classified(docs, doc_id=doc_id, text=text, with_survivor=True, **settings).filter("survivor").select("doc_id", "text_hash").distinct()
     held = docs.select(
         row_of(docs).alias("__row"), F.col(doc_id).alias("__id"), F.xxhash64(F.col(text)).alias("__hash")
     )

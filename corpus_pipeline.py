@@ -28,7 +28,7 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without repeated lines; a document that consists of nothing else goes."""
+    """Texts without repeated lines; a document that consists of nothing else stays, empty."""
     return line_dedup.cleaned(docs)
 
 

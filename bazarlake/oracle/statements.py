@@ -582,18 +582,38 @@ _CLASSES = ", ".join(
 )
 _COMMON = "(" + ", ".join(f"'{c}'" for c in g.COMMON_GLOSSARY) + ")"
 SQL["dict_column_inventory"] = f"""
-SELECT layer AS schema_name, table_name, p.column_name, data_type, 'YES' AS nullable, meaning AS comment, ordinal_position
+SELECT layer AS schema_name, table_name, p.column_name, data_type, 'YES' AS nullable, meaning AS comment, ordinal_position,
+  row_count, null_count
 FROM {PROFILE} p LEFT JOIN (VALUES {_MEANINGS}) m(column_name, meaning) ON p.column_name = m.column_name"""
 SQL["dict_reconcile"] = f"""
-SELECT d.schema_name, d.table_name, d.column_name, CASE WHEN p.column_name IS NULL THEN 'NOT_FOUND' ELSE 'APPLIED' END AS status
+SELECT d.schema_name, d.table_name, d.column_name, CASE WHEN p.column_name IS NULL THEN 'NOT_FOUND' ELSE 'APPLIED' END AS status,
+  p.row_count - p.null_count AS filled_count
 FROM (VALUES {_DECLARED}) d(schema_name, table_name, column_name) LEFT JOIN {PROFILE} p
   ON d.schema_name = p.layer AND d.table_name = p.table_name AND d.column_name = p.column_name
-UNION ALL SELECT layer, table_name, column_name, 'APPLIED_COMMON' FROM {PROFILE} WHERE column_name IN {_COMMON}"""
+UNION ALL SELECT layer, table_name, column_name, 'APPLIED_COMMON', row_count - null_count FROM {PROFILE} WHERE column_name IN {_COMMON}"""
 SQL["dict_coverage"] = f"""
 SELECT schema_name, table_name, count(*) AS total_columns, count(comment) AS documented_columns,
+  count(*) FILTER (row_count > 0 AND null_count = row_count) AS always_empty_columns,
   {share_pct('count(comment)', 'count(*)')} AS documentation_coverage_pct FROM ({SQL['dict_column_inventory']}) GROUP BY 1, 2"""
 SQL["dict_undocumented"] = f"""
-SELECT schema_name, table_name, column_name, data_type FROM ({SQL['dict_column_inventory']}) WHERE coalesce(trim(comment), '') = ''"""
+SELECT * FROM (SELECT schema_name, table_name, column_name, data_type,
+  CASE WHEN coalesce(trim(comment), '') = '' THEN 'undocumented' WHEN row_count > 0 AND null_count = row_count THEN 'always empty' END AS reason
+  FROM ({SQL['dict_column_inventory']})) WHERE reason IS NOT NULL"""
+_DOMAIN_VALUES = ", ".join(f"('{t}', '{c}', '{v}')" for (t, c), values in g.DOMAINS.items() for v in values)
+_OBSERVED = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS n FROM {t} WHERE {c} IS NOT NULL GROUP BY 3"
+    for t, c in g.DOMAINS
+)
+SQL["dict_domains"] = f"""
+SELECT coalesce(o.table_name, d.table_name) AS table_name, coalesce(o.column_name, d.column_name) AS column_name,
+  coalesce(o.value, d.value) AS value, coalesce(n, 0) AS row_count,
+  CASE WHEN d.value IS NULL THEN 'UNDECLARED' WHEN n IS NULL THEN 'NOT_OBSERVED' ELSE 'DECLARED' END AS status
+FROM ({_OBSERVED}) o FULL JOIN (VALUES {_DOMAIN_VALUES}) d(table_name, column_name, value)
+  ON o.table_name = d.table_name AND o.column_name = d.column_name AND o.value = d.value"""
+SQL["dict_cardinality"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS row_count, count(DISTINCT {c}) AS distinct_count, TRUE AS within_error FROM {t}"
+    for t, c in [*((name, keys[0]) for name, keys in q.UNIQUE_KEYS if len(keys) == 1), ("silver_order_items", "order_id")]
+)
 SQL["dict_classified_profile"] = f"""
 SELECT *, coalesce({share_pct('null_cell_count', 'cell_count', 4)}, 0) AS null_cell_rate_pct FROM (
   SELECT layer AS schema_name, p.table_name, semantic_type, sensitivity, data_classification, count(*) AS column_count,

@@ -6,9 +6,11 @@ glossary and the declared columns.
 
 from __future__ import annotations
 
+from bazarlake.functions.bands import DISTANCE_ORDER, RISK_ORDER
 from bazarlake.functions.lineage import BRONZE_LINEAGE, GOLD_LINEAGE, SILVER_LINEAGE
 from bazarlake.plans.gold import BAND_COLUMNS, CUSTOMER_METRICS, PRODUCT_ATTRIBUTES
-from bazarlake.plans.silver import BASE_COLUMNS, DISTANCE_COLUMNS
+from bazarlake.functions.text import NOT_AVAILABLE
+from bazarlake.plans.silver import BASE_COLUMNS, DISTANCE_COLUMNS, ORDER_STATUSES, SALES_CHANNEL
 from bazarlake.sources.feeds import FEEDS
 
 _SPELLING = {
@@ -440,3 +442,34 @@ LAYER_LATENCY = {
     "silver": "D+0_after_bronze",
     "gold": "D+0_after_silver",
 }
+
+
+# The values that a column may have; NULL is allowed where nothing could be judged.
+_FLAGS = ("true", "false")
+_SCORES = ("1", "2", "3", "4", "5")
+_DISTANCES = (NOT_AVAILABLE, *DISTANCE_ORDER)
+_PERFORMANCE = ("not_evaluated", "late", "on_time", "early_3_days_or_more")
+_REVIEWS = ("not_reviewed", "low_1_2", "neutral_3", "high_4_5")
+DOMAINS: dict[tuple[str, str], tuple[str, ...]] = {
+    ("silver_orders", "order_status"): ORDER_STATUSES,
+    ("silver_quarantine_orders", "order_status"): ORDER_STATUSES,
+    ("silver_order_service", "order_status"): ORDER_STATUSES,
+    ("silver_order_service", "review_score_min"): _SCORES,
+    ("silver_order_service", "review_score_max"): _SCORES,
+    ("silver_order_service", "sales_channel"): (SALES_CHANNEL,),
+    ("silver_order_service", "is_low_review"): _FLAGS,
+    **{
+        (table, column): values
+        for table in ("silver_order_service", "fact_order_service")
+        for column, values in {
+            "is_delivered": _FLAGS,
+            "is_delivery_late": _FLAGS,
+            "is_delivery_on_time": _FLAGS,
+            "distance_band": _DISTANCES,
+            "delivery_performance_band": _PERFORMANCE,
+            "review_band": _REVIEWS,
+        }.items()
+    },
+    ("fact_order_service", "order_status"): ORDER_STATUSES,
+    ("mart_service_risk", "service_risk_level"): RISK_ORDER,
+}

@@ -1068,3 +1068,27 @@ def dict_undocumented(spark, sf_dir):
 @query
 def dict_classified_profile(spark, sf_dir):
     return dictionary.classified_profile(_profile(spark, sf_dir), dictionary.column_dictionary(spark))
+
+
+@query
+def dict_domains(spark, sf_dir):
+    """Observed against declared values; orders under quarantine are where undeclared ones stay."""
+    return dictionary.observed_domains(written_lake_of(spark, sf_dir).tables())
+
+
+@query
+def dict_cardinality(spark, sf_dir):
+    """Distinct keys by sketch, and whether the estimate is within the stated error of the exact count."""
+    tables = [t for t in written_lake_of(spark, sf_dir).tables() if t[1] in _SKETCHED]
+    slim = [(layer, name, df.select(_SKETCHED[name])) for layer, name, df in tables]
+    estimated = dictionary.cardinalities(slim).drop("sketch")
+    exact = quality.union_all(
+        [distinct_counts(df, [], {_SKETCHED[name]: "exact"}).select(F.lit(name).alias("table_name"), "exact") for _, name, df in slim]
+    )
+    error = F.abs(F.col("estimate") - F.col("exact")) <= dictionary.CARDINALITY_ERROR * F.col("exact")
+    return estimated.join(exact, "table_name").select(
+        "table_name", "column_name", "row_count", F.col("exact").alias("distinct_count"), error.alias("within_error")
+    )
+
+
+_SKETCHED = {name: keys[0] for name, keys in quality.UNIQUE_KEYS if len(keys) == 1} | {"silver_order_items": "order_id"}

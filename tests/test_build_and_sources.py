@@ -298,3 +298,42 @@ def test_sketches_of_months_merge(spark):
     wrong = quality.sketched_percentiles(sketches).withColumn("value", F.col("value") * 0.5).persist()
     assert max(r.rank_error for r in quality.rank_errors(wide, wrong).collect()) > 0.2
     assert quality.sketched_percentiles(quality.monthly_sketches(wide.limit(0))).count() == 0
+
+
+# ---------------------------------------------------------------- dictionary
+
+
+def test_domains_follow_the_rows(spark):
+    from bazarlake.plans import dictionary, glossary
+
+    columns = [c for t, c in glossary.DOMAINS if t == "silver_orders"]
+    assert columns == ["order_status"]
+    orders = spark.createDataFrame([("delivered",), ("delivered",), ("lost",), (None,)], "order_status string")
+    rows = {(r.value, r.row_count, r.status) for r in dictionary.observed_domains([("silver", "silver_orders", orders)]).collect() if r.table_name == "silver_orders"}
+    assert {("delivered", 2, "DECLARED"), ("lost", 1, "UNDECLARED"), ("created", 0, "NOT_OBSERVED")} <= rows
+    assert len(rows) == len(glossary.DOMAINS["silver_orders", "order_status"]) + 1
+
+
+def test_empty_columns_need_attention(spark):
+    from bazarlake.operators.profiling import column_profile
+    from bazarlake.plans import dictionary
+
+    df = spark.createDataFrame([("s1", None, "x"), ("s2", None, None)], "seller_id string, seller_city string, oddity string")
+    inventory = dictionary.column_inventory(column_profile(df, "silver", "silver_sellers"), dictionary.column_dictionary(spark), dictionary.common_dictionary(spark))
+    assert {(r.column_name, r.reason) for r in dictionary.undocumented(inventory).collect()} == {("seller_city", "always empty"), ("oddity", "undocumented")}
+    with pytest.raises(ValueError, match="1 undocumented: silver_sellers.oddity"):
+        dictionary.require_documented(inventory)
+    row = dictionary.coverage(inventory).first()
+    assert (row.total_columns, row.documented_columns, row.always_empty_columns) == (3, 2, 1)
+
+
+def test_cardinalities_by_sketch(spark):
+    from bazarlake.plans import dictionary
+
+    df = spark.range(20_000).select(F.col("id").cast("string").alias("k"), (F.col("id") % 50).alias("a.b"))
+    rows = {r.column_name: r for r in dictionary.cardinalities([("gold", "t", df)]).collect()}
+    assert rows["k"].row_count == 20_000 and abs(rows["k"].estimate - 20_000) <= dictionary.CARDINALITY_ERROR * 20_000
+    assert rows["a.b"].estimate == 50
+    halves = [dictionary.cardinalities([("gold", "t", df.filter(c))]) for c in ("id < 12000", "id >= 8000")]
+    merged = halves[0].unionAll(halves[1]).groupBy("column_name").agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("n"))
+    assert abs({r.column_name: r.n for r in merged.collect()}["k"] - 20_000) <= 1000

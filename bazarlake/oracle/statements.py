@@ -278,6 +278,44 @@ SELECT i.order_id, order_item_id, order_status, price FROM silver_order_items i
 SQL["join_left_sql"] = """
 SELECT i.order_id, i.order_item_id, p.product_category_name, i.item_gmv
 FROM fact_order_item_sales i LEFT JOIN dim_product p ON i.product_id = p.product_id"""
+_MONTH = "date_trunc('month', strptime(CAST(purchase_date_key AS VARCHAR), '%Y%m%d'))::DATE"
+SQL["q6_cohorts"] = f"""
+SELECT * FROM (WITH active AS (SELECT DISTINCT customer_unique_id, {_MONTH} AS month FROM fact_order_service
+                WHERE customer_unique_id IS NOT NULL AND purchase_date_key IS NOT NULL),
+     first AS (SELECT customer_unique_id, min(month) AS cohort_month FROM active GROUP BY 1),
+     counted AS (SELECT cohort_month, CAST(date_diff('month', cohort_month, month) AS INTEGER) AS months_since, count(*) AS customer_count
+                 FROM active JOIN first USING (customer_unique_id) GROUP BY 1, 2),
+     size AS (SELECT cohort_month, count(*) AS cohort_size FROM first GROUP BY 1)
+SELECT cohort_month, months_since, customer_count, cohort_size, {share_pct('customer_count', 'cohort_size')} AS retention_pct
+FROM counted JOIN size USING (cohort_month))"""
+SQL["q7_freight_vs_review"] = f"""
+SELECT * FROM (WITH judged AS (SELECT order_id, avg_freight_to_price_ratio, review_score_avg FROM silver_order_service
+                WHERE avg_freight_to_price_ratio IS NOT NULL AND review_score_avg IS NOT NULL),
+     binned AS (SELECT *, CAST((row_number() OVER (ORDER BY avg_freight_to_price_ratio, order_id) - 1) * 10 // count(*) OVER () AS INTEGER) + 1
+                  AS freight_decile FROM judged)
+SELECT freight_decile, (SELECT round(corr(CAST(avg_freight_to_price_ratio AS DOUBLE), review_score_avg), 4) FROM judged) AS freight_review_correlation,
+  count(*) AS order_count, min(avg_freight_to_price_ratio) AS least_ratio, max(avg_freight_to_price_ratio) AS largest_ratio,
+  {mean2('review_score_avg')} AS avg_review_score, {tristate_pct('review_score_avg <= 2')} AS low_review_rate_pct
+FROM binned GROUP BY 1)"""
+SQL["q8_growth_and_delay"] = f"""
+SELECT * FROM (WITH metrics AS (SELECT distance_band, {_MONTH} AS month, count(order_id) AS order_count, {mean2('delivery_delay_days')} AS avg_delay_days
+                 FROM fact_order_service WHERE purchase_date_key IS NOT NULL GROUP BY 1, 2),
+     spans AS (SELECT distance_band, unnest(generate_series(min(month), max(month), INTERVAL 1 MONTH))::DATE AS month FROM metrics GROUP BY 1),
+     filled AS (SELECT s.distance_band, s.month, coalesce(order_count, 0) AS order_count, avg_delay_days FROM spans s
+                LEFT JOIN metrics m ON s.distance_band = m.distance_band AND s.month = m.month),
+     compared AS (SELECT *, lag(order_count) OVER w AS previous_order_count, lag(avg_delay_days) OVER w AS previous_avg_delay_days
+                  FROM filled WINDOW w AS (PARTITION BY distance_band ORDER BY month))
+SELECT *, coalesce(order_count > previous_order_count AND avg_delay_days > previous_avg_delay_days, FALSE) AS grows_with_worse_delay FROM compared)"""
+SQL["q9_payment_mix"] = f"""
+SELECT * FROM (WITH kinds AS (SELECT order_id, payment_total_value, review_score_avg, list_distinct(string_split(payment_types, '|')) AS types,
+    CASE WHEN max_payment_installments IS NULL THEN 'not_available' WHEN max_payment_installments <= 1 THEN '1'
+         WHEN max_payment_installments <= 3 THEN '2_to_3' WHEN max_payment_installments <= 6 THEN '4_to_6' ELSE '7_or_more' END AS instalment_band
+  FROM silver_order_service WHERE payment_types IS NOT NULL AND payment_types <> ''),
+     long AS (SELECT *, len(types) AS n_types, unnest(types) AS payment_type FROM kinds)
+SELECT payment_type, instalment_band, count(*) AS order_count, count(*) FILTER (n_types > 1) AS mixed_order_count,
+  CAST(round(sum(CAST(round(1.0::DOUBLE / n_types, 6) AS DECIMAL(20,6))), 4) AS DOUBLE) AS order_share,
+  {mean2_money('payment_total_value')} AS avg_payment_value, {mean2('review_score_avg')} AS avg_review_score
+FROM long GROUP BY 1, 2)"""
 SQL["join_left_heavy"] = """
 SELECT i.order_id, i.order_item_id, i.product_id, i.item_gmv, p.product_category_name
 FROM fact_order_item_sales i LEFT JOIN dim_product p ON i.product_id = p.product_id"""

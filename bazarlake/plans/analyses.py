@@ -6,7 +6,7 @@ group key, so that a report is the same on each run.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bazarlake.functions.bands import DISTANCE_ORDER, position_in
@@ -14,6 +14,7 @@ from bazarlake.functions.rates import mean2, mean2_money, mean_of_parts, mean_pa
 from bazarlake.functions.text import NOT_AVAILABLE, or_not_available
 from bazarlake.operators.distinct import distinct_counts
 from bazarlake.operators.heavy_join import split_join
+from bazarlake.operators.ranking import global_row_number
 from bazarlake.operators.workdir import materialize
 
 # Report sizes, least volume of a group and the revenue percentile.
@@ -316,3 +317,122 @@ def q5_category_priority(items: DataFrame, products: DataFrame) -> DataFrame:
             for name in ("late_delivery_rate_pct", "avg_review_score", "low_review_rate_pct")
         ],
     )
+
+
+# ---------------------------------------------------------------- 6 to 10: cohorts, freight, growth, payments
+
+
+def _month(date_key: str) -> Column:
+    """First day of the month of a yyyymmdd key."""
+    return F.trunc(F.to_date(F.col(date_key).cast("string"), "yyyyMMdd"), "month")
+
+
+def q6_cohorts(fact: DataFrame) -> DataFrame:
+    """Persons of each first-order month that order again, by months since then.
+
+    The first month is a grouping by person, and a person's months are made distinct before they
+    are counted, so a frequent buyer is one row per month.
+    """
+    months = fact.filter("customer_unique_id IS NOT NULL AND purchase_date_key IS NOT NULL").select(
+        "customer_unique_id", _month("purchase_date_key").alias("month")
+    )
+    active = months.distinct()
+    first = active.groupBy("customer_unique_id").agg(F.min("month").alias("cohort_month"))
+    later = active.join(first, "customer_unique_id")
+    offset = F.months_between("month", "cohort_month").cast("int").alias("months_since")
+    counted = later.groupBy("cohort_month", offset).agg(F.count("*").alias("customer_count"))
+    size = first.groupBy("cohort_month").agg(F.count("*").alias("cohort_size"))
+    return counted.join(size, "cohort_month").select(
+        "cohort_month",
+        "months_since",
+        "customer_count",
+        "cohort_size",
+        percent_of(F.col("customer_count"), F.col("cohort_size")).alias("retention_pct"),
+    ).orderBy("cohort_month", "months_since")
+
+
+DECILES = 10
+
+
+def q7_freight_vs_review(service: DataFrame) -> DataFrame:
+    """Low reviews by decile of the freight's share of the price, and the correlation over all orders.
+
+    Deciles come from a global rank by (ratio, order), which is computed over range partitions, so
+    no task sorts all rows.
+    """
+    judged = service.filter("avg_freight_to_price_ratio IS NOT NULL AND review_score_avg IS NOT NULL").select(
+        "order_id", "avg_freight_to_price_ratio", "review_score_avg"
+    )
+    ranked = global_row_number(judged, [F.col("avg_freight_to_price_ratio"), F.col("order_id")], "place")
+    total = judged.agg(
+        F.count("*").alias("n"),
+        F.round(F.corr(F.col("avg_freight_to_price_ratio").cast("double"), "review_score_avg"), 4).alias("freight_review_correlation"),
+    )
+    decile = F.floor((F.col("place") - 1) * DECILES / F.col("n")).cast("int") + 1
+    binned = ranked.crossJoin(F.broadcast(total)).withColumn("freight_decile", decile)  # one row
+    return binned.groupBy("freight_decile", "freight_review_correlation").agg(
+        F.count("*").alias("order_count"),
+        F.min("avg_freight_to_price_ratio").alias("least_ratio"),
+        F.max("avg_freight_to_price_ratio").alias("largest_ratio"),
+        mean2("review_score_avg").alias("avg_review_score"),
+        _low_review_pct(),
+    ).orderBy("freight_decile")
+
+
+def q8_growth_and_delay(fact: DataFrame) -> DataFrame:
+    """Month over month, per distance band: months with more orders and longer delays than the one before.
+
+    Each band has every month from its first to its last one, those without orders too, so "the
+    month before" is the calendar's.
+    """
+    dated = fact.filter("purchase_date_key IS NOT NULL").withColumn("month", _month("purchase_date_key"))
+    metrics = dated.groupBy("distance_band", "month").agg(
+        F.count("order_id").alias("order_count"), mean2("delivery_delay_days").alias("avg_delay_days")
+    )
+    metrics = materialize(metrics)  # a row per band and month
+    spans = metrics.groupBy("distance_band").agg(F.min("month").alias("first"), F.max("month").alias("last"))
+    calendar = spans.select("distance_band", F.explode(F.sequence("first", "last", F.expr("INTERVAL 1 MONTH"))).alias("month"))
+    filled = calendar.join(metrics, ["distance_band", "month"], "left").withColumn("order_count", F.coalesce("order_count", F.lit(0)))
+    before = Window.partitionBy("distance_band").orderBy("month")
+    compared = filled.withColumns(
+        {
+            "previous_order_count": F.lag("order_count").over(before),
+            "previous_avg_delay_days": F.lag("avg_delay_days").over(before),
+        }
+    )
+    worse = (F.col("order_count") > F.col("previous_order_count")) & (F.col("avg_delay_days") > F.col("previous_avg_delay_days"))
+    return compared.withColumn("grows_with_worse_delay", F.coalesce(worse, F.lit(False))).orderBy("distance_band", "month")
+
+
+# Upper edges of the instalment bands.
+INSTALMENT_BANDS = ((1, "1"), (3, "2_to_3"), (6, "4_to_6"))
+INSTALMENT_TOP = "7_or_more"
+
+
+def q9_payment_mix(service: DataFrame) -> DataFrame:
+    """Orders by type of payment and instalment band.
+
+    An order paid in several ways counts once under each of its types; ``order_share`` splits it
+    evenly among them, so the shares add up to the number of orders.
+    """
+    paid = service.filter("payment_types IS NOT NULL AND payment_types <> ''")
+    types = F.array_distinct(F.split("payment_types", r"\|"))
+    band = F
+    for edge, label in INSTALMENT_BANDS:
+        band = band.when(F.col("max_payment_installments") <= edge, label)
+    kinds = paid.select(
+        "order_id",
+        "payment_total_value",
+        "review_score_avg",
+        F.when(F.col("max_payment_installments").isNull(), NOT_AVAILABLE).otherwise(band.otherwise(INSTALMENT_TOP)).alias("instalment_band"),
+        F.size(types).alias("n_types"),
+        F.explode(types).alias("payment_type"),
+    )
+    return kinds.groupBy("payment_type", "instalment_band").agg(
+        F.count("*").alias("order_count"),
+        F.count_if(F.col("n_types") > 1).alias("mixed_order_count"),
+        F.round(F.sum((F.lit(1).cast("decimal(20,10)") / F.col("n_types").cast("decimal(5,0)")).cast("decimal(20,6)")), 4)
+        .cast("double").alias("order_share"),
+        mean2_money("payment_total_value").alias("avg_payment_value"),
+        mean2("review_score_avg").alias("avg_review_score"),
+    ).orderBy("payment_type", "instalment_band")

@@ -537,6 +537,26 @@ def q5_category_priority(spark, sf_dir):
     return analyses.q5_category_priority(lake.fact_order_item_sales, lake.dim_product)
 
 
+@query
+def q6_cohorts(spark, sf_dir):
+    return analyses.q6_cohorts(lake_of(spark, sf_dir).fact_order_service)
+
+
+@query
+def q7_freight_vs_review(spark, sf_dir):
+    return analyses.q7_freight_vs_review(lake_of(spark, sf_dir).silver_order_service)
+
+
+@query
+def q8_growth_and_delay(spark, sf_dir):
+    return analyses.q8_growth_and_delay(lake_of(spark, sf_dir).fact_order_service)
+
+
+@query
+def q9_payment_mix(spark, sf_dir):
+    return analyses.q9_payment_mix(lake_of(spark, sf_dir).silver_order_service)
+
+
 # ---------------------------------------------------------------- joins
 
 

@@ -11,12 +11,14 @@ walks down to that member and adds the sets beside its way. An inclusion score i
 that the path's noise exceeds the (k+1)-th value: ``1 - exp(-exp(log_prob - threshold))``.
 
 No piece crosses a space, so the lattice falls into words. The distinct words of a batch of texts
-are built together, by the number of characters left, and all words take a step together; memory
-follows the batch, or the longest text if that is longer. Noise is hashed from the row's key, the sample and the place in the
-text, so a row's samples depend on nothing else and repeat in every run.
+are built together, by the number of characters left, and all words take a step together; a worker
+keeps the lattices of words from earlier batches and tasks up to a stated number of bytes. Memory
+follows the batch, or the longest text if that is longer. Noise is hashed from the row's key, the
+sample and the place in the text, so a row's samples depend on nothing else and repeat in every run.
 
 A run without a space, however long, is one word, and its lattice is whole; the steps of a batch
-follow its longest word.
+follow its longest word. A text's own U+2581, the vocabulary's sign for a space, is spelled in bytes,
+so that every path decodes to the text itself.
 
 Defined cases: a null or empty text has one path of no pieces, with log-probability 0 and score 1; a
 text with fewer paths than asked for gives all of them, each with score 1; rows that repeat a key
@@ -42,7 +44,14 @@ SAMPLES = 3
 POWER = 1.0
 _SPACE = "▁"
 _WORDS = re.compile(f"{_SPACE}*[^{_SPACE}]+|{_SPACE}+")
-_BATCH_CHARS = 3 << 20
+#: Stands for U+2581 of the text itself: half of a surrogate pair, which no text holds.
+_OWN = "\ud800"
+_BATCH_CHARS = 3 << 19
+#: Bytes of word lattices that a worker keeps between batches.
+_KEPT_BYTES = 128 << 20
+_WORD_BYTES = 150
+#: Characters below this, and the space, have a column of their own in the trie.
+_COMMON = 128
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _STEP, _WORD, _SAMPLE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03), np.uint64(0x8CB92BA72F3D8DD7)
 
@@ -84,18 +93,24 @@ class Vocabulary:
         self.byte_weight = -power * float(np.log(2.0 + size)) - 1.0
         self.longest = max(map(len, self.weight))
 
-    def in_bytes(self, pieces: np.ndarray) -> np.ndarray:
-        """Ids, with the bytes' ids for the characters (numbered from the vocabulary's size) without a piece."""
+    def in_bytes(self, pieces: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+        """Ids of paths of ``sizes`` pieces each, with the bytes' ids for the characters (numbered
+        from the vocabulary's size) without a piece."""
         size = len(self.spelling)
         bare = np.flatnonzero(pieces >= size)
-        if len(bare):
-            spelled = [[self.byte[b] for b in chr(c - size).encode()] for c in pieces[bare].tolist()]
-            parts = np.split(pieces, bare)
-            joined = [parts[0]]
-            for ids, rest in zip(spelled, parts[1:], strict=True):
-                joined += [np.array(ids, np.int64), rest[1:]]
-            pieces = np.concatenate(joined)
-        return pieces.astype("<u4")
+        width = np.ones(len(pieces), np.int64)
+        chars, which = np.unique(pieces[bare] - size, return_inverse=True)
+        spelled = [(_SPACE if chr(c) == _OWN else chr(c)).encode() for c in chars.tolist()]
+        width[bare] = np.array([len(x) for x in spelled], np.int64)[which]
+        ends = np.cumsum(width)
+        out = np.repeat(pieces, width).astype("<u4")
+        begins = ends[bare] - width[bare]
+        for i in range(4):
+            at = width[bare] > i
+            ids = np.array([self.byte[x[i]] if len(x) > i else 0 for x in spelled], np.int64)
+            out[begins[at] + i] = ids[which[at]]
+        cuts = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes)])].tolist()
+        return [out[low:high] for low, high in zip(cuts, cuts[1:], strict=False)]
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The text of ids; the first space is the encoder's own."""
@@ -121,38 +136,91 @@ class Trie:
         self.keys = np.array(sorted(after), np.int64)
         self.nodes = np.array([after[k] for k in self.keys.tolist()], np.int64)
         self.piece, self.weight = np.array(piece), np.array(weight)
+        # The steps by common characters as a table; a node without a step has the last row.
+        inner = np.unique(self.keys >> 21)
+        self.row = np.full(len(piece), len(inner))
+        self.row[inner] = np.arange(len(inner))
+        self.table = np.full((len(inner) + 1, _COMMON + 2), -1, np.int32)
+        column = self._column(self.keys & 0x1FFFFF)
+        held = column <= _COMMON
+        self.table[self.row[self.keys[held] >> 21], column[held]] = self.nodes[held]
+
+    @staticmethod
+    def _column(chars: np.ndarray) -> np.ndarray:
+        return np.where(chars == ord(_SPACE), _COMMON, np.where(chars < _COMMON, chars, _COMMON + 1))
 
     def step(self, nodes: np.ndarray, chars: np.ndarray) -> np.ndarray:
         """The nodes one character further, -1 where there is none."""
-        wanted = nodes << 21 | chars
+        column = self._column(chars)
+        out = self.table[self.row[nodes], column].astype(np.int64)
+        rare = np.flatnonzero(column > _COMMON)
+        wanted = nodes[rare] << 21 | chars[rare]
         at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
-        return np.where(self.keys[at] == wanted, self.nodes[at], -1)
+        out[rare] = np.where(self.keys[at] == wanted, self.nodes[at], -1)
+        return out
 
 
 class Lattice:
-    """The lattices of a batch's distinct words. Node 0 is the end of a word; the others are places
-    in the words, in the order of the characters left; a node's edges lie side by side."""
-
-    def __init__(self, trie: Trie, vocabulary: Vocabulary, words: list[str]):
-        sizes = np.array([len(w) for w in words], np.int64)
-        chars = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+    """The lattices of distinct words. Node 0 is the end of a word; the others are places in the
+    words; a node's edges lie side by side."""
+
+    _BY_EDGE = ("target", "piece", "log_share", "log_rest", "cumulated")
+
+    def __init__(self, trie: Trie, vocabulary: Vocabulary, words: list[str] | None = None):
+        self.trie, self.vocabulary = trie, vocabulary
+        self.known: dict[str, int] = {}
+        self.first = np.zeros(0, np.int64)  # node of each word's start
+        self.start = np.zeros(2, np.int64)  # first edge of each node, and the number of edges
+        self.target = self.piece = np.zeros(0, np.int32)
+        self.log_share = self.log_rest = self.cumulated = np.zeros(0)
+        self.kept = 0, 1, 0  # words, nodes, edges
+        self._add(words or [])
+
+    def places(self, words: list[str]) -> np.ndarray:
+        """Start nodes of words, unknown ones being added."""
+        found = list(map(self.known.get, words))
+        if None in found:
+            fresh = list(dict.fromkeys(w for w, i in zip(words, found, strict=True) if i is None))
+            self._add(fresh)
+            found = list(map(self.known.get, words))
+        return self.first[np.array(found, np.int64)]
+
+    def forget(self) -> None:
+        """Back to the last state within the bound, if the words since then exceed it."""
+        if self.nbytes <= _KEPT_BYTES:
+            self.kept = len(self.first), len(self.start) - 1, len(self.target)
+            return
+        words, nodes, edges = self.kept
+        for word in list(self.known)[words:]:
+            del self.known[word]
+        self.first, self.start = self.first[:words].copy(), self.start[: nodes + 1].copy()
+        for name in self._BY_EDGE:
+            setattr(self, name, getattr(self, name)[:edges].copy())
+
+    @property
+    def nbytes(self) -> int:
+        return self.start.nbytes + _WORD_BYTES * len(self.first) + sum(getattr(self, name).nbytes for name in self._BY_EDGE)
+
+    def _add(self, words: list[str]) -> None:
+        """More words; each name goes without the space that begins every word."""
+        if not words:
+            return
+        trie, vocabulary = self.trie, self.vocabulary
+        sizes = np.array([len(w) for w in words], np.int64) + 1
+        chars = np.frombuffer((_SPACE + _SPACE.join(words)).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
         n = len(chars)
         ends = np.cumsum(sizes)
         left = np.repeat(ends, sizes) - np.arange(n)
-        order = np.argsort(left, kind="stable")
-        number = np.zeros(n + 1, np.int64)
+        order = np.argsort(left.astype(np.uint16) if sizes.max() < 1 << 16 else left, kind="stable")
+        number = np.zeros(n + 1, np.int64)  # in the order of the characters left
         number[order] = np.arange(1, n + 1)
-        self.first = number[ends - sizes]  # node of each word's start
 
-        source, target, weight, piece = [], [], [], []
+        found = []  # nodes, targets, weights and pieces by the length of the piece
+        places, node = np.arange(n), np.zeros(n, np.int64)
 
         def edges(places: np.ndarray, length: int, weights: np.ndarray, pieces: np.ndarray) -> None:
-            source.append(number[places])
-            target.append(np.where(left[places] == length, 0, number[places + length]))
-            weight.append(weights)
-            piece.append(pieces)
+            found.append((number[places], np.where(left[places] == length, 0, number[places + length]), weights, pieces))
 
-        places, node = np.arange(n), np.zeros(n, np.int64)
         for length in range(1, vocabulary.longest + 1):
             node = trie.step(node, chars[places + length - 1])
             held = node >= 0
@@ -166,30 +234,47 @@ class Lattice:
             places, node = places[going], node[going]
             if not len(places):
                 break
+        counts = np.zeros(n + 2, np.int64)
+        for nodes, *_ in found:
+            counts[nodes] += 1
+        start = np.cumsum(counts) - counts
+        count = int(start[-1])
+        target, piece, value = np.empty(count, np.int32), np.empty(count, np.int32), np.empty(count)
         # Longest first: they are mostly the likeliest, and a step stops at the first that fits.
-        source = np.concatenate(source[::-1])
-        by_node = np.argsort(source, kind="stable")
-        source = source[by_node]
-        self.target, value, self.piece = (np.concatenate(x[::-1])[by_node] for x in (target, weight, piece))
-        counts = np.bincount(source, minlength=n + 2)
-        self.start = np.cumsum(counts) - counts
+        free = start.copy()
+        for nodes, targets, weights, pieces in reversed(found):
+            slot = free[nodes]
+            free[nodes] += 1
+            target[slot], value[slot], piece[slot] = targets, weights, pieces
         total = np.zeros(n + 1)
         # Nodes with the same number of characters left are neighbours and need only shorter rests.
-        levels = np.concatenate([[1], 1 + np.cumsum(np.bincount(left)[1:])]) if n else np.array([1])
+        levels = np.concatenate([[1], 1 + np.cumsum(np.bincount(left)[1:])])
         for low, high in zip(levels, levels[1:], strict=False):
-            a, b = self.start[low], self.start[high]
+            a, b = start[low], start[high]
             if a == b:
                 continue
-            value[a:b] += total[self.target[a:b]]
-            begin = self.start[low:high] - a
+            value[a:b] += total[target[a:b]]
+            begin = start[low:high] - a
             top = np.maximum.reduceat(value[a:b], begin)
             share = np.exp(value[a:b] - np.repeat(top, counts[low:high]))
             total[low:high] = top + np.log(np.add.reduceat(share, begin))
-        self.log_share = value - total[source]
-        summed = np.cumsum(np.exp(self.log_share))
-        before = np.concatenate([[0.0], summed])[self.start[source]] if len(source) else summed
-        self.cumulated = summed - before
-        self.cumulated[self.start[2 : n + 2] - 1] = 1.0  # the last edge of each node
+        log_share = value - np.repeat(total, counts[: n + 1])
+        # Summed within each node, so that a word's numbers do not depend on its neighbours.
+        cumulated = np.exp(log_share)
+        at = np.arange(1, n + 1)
+        for i in range(1, int(counts.max())):
+            at = at[counts[at] > i]
+            cumulated[start[at] + i] += cumulated[start[at] + i - 1]
+        cumulated[start[2 : n + 2] - 1] = 1.0  # the last edge of each node
+
+        nodes, edge_count = len(self.start) - 2, len(self.target)
+        begins = number[ends - sizes] + nodes
+        self.known.update(zip(words, range(len(self.first), len(self.first) + len(words)), strict=True))
+        self.first = np.concatenate([self.first, begins])
+        self.start = np.concatenate([self.start[:-1], start[1:] + edge_count])
+        added = np.where(target > 0, target + np.int32(nodes), np.int32(0)), piece, log_share, _log_rest(log_share), cumulated
+        for name, values in zip(self._BY_EDGE, added, strict=True):
+            setattr(self, name, np.concatenate([getattr(self, name), values]))
 
     def walk(self, nodes: np.ndarray, noise: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(edges of each word one after the other, number of edges of each word)."""
@@ -216,12 +301,13 @@ class Lattice:
             edges[first[w] + k] = e
         return edges, count
 
-    def siblings(self, node: int) -> np.ndarray:
-        return np.arange(self.start[node], self.start[node + 1])
-
 
 def words_of(text: str) -> list[str]:
-    return _WORDS.findall(_SPACE + text.replace(" ", _SPACE)) if text else []
+    """The words of a text, without the space that begins each."""
+    text = text.replace(_SPACE, _OWN)
+    if not text or text[0] == " " or text[-1] == " " or "  " in text:
+        return [w[1:] for w in _WORDS.findall(_SPACE + text.replace(" ", _SPACE))] if text else []
+    return text.split(" ")
 
 
 def _log_rest(log_share: np.ndarray) -> np.ndarray:
@@ -230,117 +316,167 @@ def _log_rest(log_share: np.ndarray) -> np.ndarray:
         return np.log(-np.expm1(np.minimum(log_share, 0.0)))
 
 
+class _Path:
+    """A found path and the agenda of the sets beside it; its first ``branch`` steps belong to an
+    earlier path, and ``taken`` are the edges that paths take where they part."""
+
+    __slots__ = ("agenda", "branch", "count", "edges", "ends", "log_prob", "taken", "top", "value")
+
+    def __init__(self, value: float, edges: np.ndarray, count: np.ndarray, branch: int, taken: list[int]):
+        self.value, self.edges, self.count, self.branch, self.taken = value, edges, count, branch, taken
+        self.ends = np.cumsum(count)
+
+    def rank(self) -> None:
+        step = int(self.agenda.argmax()) if len(self.agenda) else -1
+        self.top = (float(self.agenda[step]), step) if step >= 0 else (-np.inf, -1)
+
+
 class _Document:
-    """Found paths of one text and the agenda of the sets beside them."""
+    """Found paths of one text."""
+
+    __slots__ = ("key", "nodes", "paths")
 
     def __init__(self, key: np.uint64, nodes: np.ndarray):
         self.key, self.nodes = key, nodes
-        self.paths: list[dict] = []
-
-    def noise(self, sample: int, words: np.ndarray) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            return _hash(self.key + np.uint64(sample + 1) * _SAMPLE + words.astype(np.uint64) * _WORD)
-
-    def add(self, walker: Lattice, sample: int, value: float, edges: np.ndarray, count: np.ndarray, fixed: int, taken: list[int]) -> None:
-        """A path, whose first ``fixed`` steps it shares with an earlier one; ``taken``: edges at the branch."""
-        shares = walker.log_share[edges]
-        before = np.cumsum(shares) - shares
-        mass = before + _log_rest(shares)
-        mass[:fixed] = -np.inf
-        if taken:
-            rest = 1.0 - np.exp(walker.log_share[np.array(taken)]).sum()
-            total = len(walker.siblings(int(self._node(walker, edges, count, fixed))))
-            mass[fixed] = before[fixed] + np.log(rest) if rest > 1e-15 and len(taken) < total else -np.inf
-        with np.errstate(over="ignore", divide="ignore"):
-            u = _uniform(_hash(self.key + np.uint64(sample + 1) * _SAMPLE) + np.arange(1, len(edges) + 1, dtype=np.uint64) * _MIX[1])
-            agenda = mass - np.log(np.exp(mass - value) - np.log(u))
-        agenda[~np.isfinite(mass)] = -np.inf
-        self.paths.append({"value": value, "edges": edges, "count": count, "agenda": agenda, "branch": fixed, "taken": taken, "log_prob": float(shares.sum())})
-
-    def _node(self, walker: Lattice, edges: np.ndarray, count: np.ndarray, step: int) -> int:
-        """The node that a step leaves."""
-        ends = np.cumsum(count)
-        word = int(np.searchsorted(ends, step, side="right"))
-        if step == ends[word] - count[word]:
-            return int(self.nodes[word])
-        return int(walker.target[edges[step - 1]])
-
-    def best(self) -> tuple[float, int, int]:
-        """(value, path, step) of the best set on the agenda."""
-        found = (-np.inf, -1, -1)
+        self.paths: list[_Path] = []
+
+    def at(self, walker: Lattice, path: _Path, step: int) -> tuple[int, int]:
+        """(word, node) that a step of a path leaves."""
+        word = int(path.ends.searchsorted(step, side="right"))
+        if step == path.ends[word] - path.count[word]:
+            return word, int(self.nodes[word])
+        return word, int(walker.target[path.edges[step - 1]])
+
+    def best(self) -> tuple[float, int]:
+        """(value, path) of the best set on the agenda."""
+        found = (-np.inf, -1)
         for i, path in enumerate(self.paths):
-            if len(path["agenda"]):
-                step = int(path["agenda"].argmax())
-                if path["agenda"][step] > found[0]:
-                    found = (float(path["agenda"][step]), i, step)
+            if path.top[0] > found[0]:
+                found = (path.top[0], i)
         return found
 
 
-def sample_texts(texts: list[str], keys: np.ndarray, k: int, trie: Trie, vocabulary: Vocabulary) -> list[list[dict]]:
+def _fill_agendas(walker: Lattice, documents: list[_Document], sample: int) -> None:
+    """Agendas of the newest path of each document: per step, the best value of the paths that leave there."""
+    newest = [d.paths[-1] for d in documents]
+    sizes = np.array([len(p.edges) for p in newest], np.int64)
+    edges = np.concatenate([p.edges for p in newest])
+    cuts = np.concatenate([[0], np.cumsum(sizes)]).tolist()
+    shares = walker.log_share[edges]
+    before = np.empty_like(shares)
+    for low, high in zip(cuts, cuts[1:], strict=False):
+        np.cumsum(shares[low:high], out=before[low:high])
+    before -= shares
+    mass = before + walker.log_rest[edges]
+    for d, path, low in zip(documents, newest, cuts, strict=False):
+        mass[low : low + path.branch] = -np.inf
+        if path.taken:
+            _, node = d.at(walker, path, path.branch)
+            rest = 1.0 - np.exp(walker.log_share[path.taken]).sum()
+            open_ = rest > 1e-15 and len(path.taken) < walker.start[node + 1] - walker.start[node]
+            mass[low + path.branch] = before[low + path.branch] + np.log(rest) if open_ else -np.inf
+    keys = np.array([d.key for d in documents], np.uint64)
+    step = np.arange(1, len(edges) + 1) - np.repeat(cuts[:-1], sizes)
+    with np.errstate(over="ignore", divide="ignore"):
+        u = _uniform(np.repeat(_hash(keys + np.uint64(sample + 1) * _SAMPLE), sizes) + step.astype(np.uint64) * _MIX[1])
+        agenda = mass - np.log(np.exp(mass - np.repeat([p.value for p in newest], sizes)) - np.log(u))
+    agenda[~np.isfinite(mass)] = -np.inf
+    for path, low, high in zip(newest, cuts, cuts[1:], strict=False):
+        path.log_prob = float(shares[low:high].sum())
+        path.agenda = agenda[low:high]
+        path.rank()
+
+
+def _open_best(walker: Lattice, d: _Document, path: _Path, u: float) -> tuple:
+    """(path, value, word, nodes to walk from, edges up to there within the word, step, edges taken at it)."""
+    value, step = path.top
+    path.agenda[step] = -np.inf
+    path.rank()
+    word, node = d.at(walker, path, step)
+    taken = path.taken if step == path.branch and path.taken else [int(path.edges[step])]
+    first = int(walker.start[node])
+    beside = np.ones(int(walker.start[node + 1]) - first, bool)
+    beside[np.array(taken) - first] = False
+    choices = first + np.flatnonzero(beside)
+    share = np.exp(walker.log_share[choices])
+    chosen = int(choices[min(int(np.cumsum(share).searchsorted(u * share.sum())), len(choices) - 1)])
+    nodes = d.nodes[word:].copy()
+    nodes[0] = walker.target[chosen]
+    head = np.append(path.edges[path.ends[word] - path.count[word] : step], chosen)
+    return path, value, word, nodes, head, step, [*taken, chosen]
+
+
+def sample_texts(
+    texts: list[str], keys: np.ndarray, k: int, trie: Trie, vocabulary: Vocabulary, walker: Lattice | None = None
+) -> list[list[dict]]:
     """Up to k paths of each text: ids, log_prob, perturbed value and inclusion score, best first."""
+    walker = walker or Lattice(trie, vocabulary)
     split = [words_of(t) for t in texts]
-    known: dict[str, int] = {}
-    places = np.array([known.setdefault(w, len(known)) for words in split for w in words], np.int64)
-    walker = Lattice(trie, vocabulary, list(known))
-    every = walker.first[places] if len(places) else places
+    every = walker.places([w for words in split for w in words])
     bounds = np.cumsum([0] + [len(w) for w in split])
     documents = [_Document(key, every[a:b]) for key, a, b in zip(keys, bounds, bounds[1:], strict=False)]
+    with np.errstate(over="ignore"):
+        roots = -np.log(-np.log(_uniform(keys)))
     for sample in range(k):
-        plans = []  # (document, value, kept edges, kept counts, first word, its node, edges so far in it, branch, taken)
-        for d in documents:
-            if sample == 0:
-                with np.errstate(over="ignore"):
-                    root = -np.log(-np.log(_uniform(np.array([d.key]))[0]))
-                plans.append((d, float(root), None, 0, d.nodes, [], 0, []))
-                continue
-            if len(d.paths) < sample:
-                continue
-            value, i, step = d.best()
-            if value == -np.inf:
-                continue
-            path = d.paths[i]
-            path["agenda"][step] = -np.inf
-            edges, count = path["edges"], path["count"]
-            node = d._node(walker, edges, count, step)
-            taken = [*path["taken"]] if step == path["branch"] and path["taken"] else [int(edges[step])]
-            choices = np.setdiff1d(walker.siblings(node), taken)
-            share = np.exp(walker.log_share[choices])
+        if sample == 0:
+            going = documents
+            plans = [(None, float(root), 0, d.nodes, np.zeros(0, np.int64), 0, []) for d, root in zip(documents, roots, strict=True)]
+        else:
+            opened = [(d, *d.best()) for d in documents if len(d.paths) == sample]
+            opened = [(d, d.paths[i]) for d, value, i in opened if value > -np.inf]
+            going = [d for d, _ in opened]
+            steps = np.array([path.top[1] for _, path in opened], np.uint64)
             with np.errstate(over="ignore"):
-                u = _uniform(np.array([d.key + np.uint64(sample + 1) * _MIX[0] + np.uint64(step)]))[0]
-            chosen = int(choices[min(int(np.searchsorted(np.cumsum(share), u * share.sum())), len(choices) - 1)])
-            ends = np.cumsum(count)
-            word = int(np.searchsorted(ends, step, side="right"))
-            nodes = d.nodes[word:].copy()
-            nodes[0] = walker.target[chosen]
-            head = [*edges[ends[word] - count[word] : step].tolist(), chosen]
-            plans.append((d, value, path, word, nodes, head, step, [*taken, chosen]))
+                u = _uniform(np.array([d.key for d in going], np.uint64) + np.uint64(sample + 1) * _MIX[0] + steps)
+            plans = [_open_best(walker, d, path, float(x)) for (d, path), x in zip(opened, u, strict=True)]
         if not plans:
             break
-        noise = [d.noise(sample, np.arange(word, word + len(nodes))) for d, _, _, word, nodes, *_ in plans]
-        walked, counts = walker.walk(np.concatenate([p[4] for p in plans]), np.concatenate(noise))
+        sizes = np.array([len(p[3]) for p in plans], np.int64)
+        begins = np.cumsum(sizes) - sizes
+        words = np.arange(int(sizes.sum())) - np.repeat(begins - np.array([p[2] for p in plans]), sizes)
+        own = np.repeat(np.array([d.key for d in going], np.uint64), sizes)
+        with np.errstate(over="ignore"):
+            noise = _hash(own + np.uint64(sample + 1) * _SAMPLE + words.astype(np.uint64) * _WORD)
+        walked, counts = walker.walk(np.concatenate([p[3] for p in plans]), noise)
         w = e = 0
-        for d, value, path, word, nodes, head, step, taken in plans:
+        for d, (path, value, word, nodes, head, step, taken) in zip(going, plans, strict=True):
             count = counts[w : w + len(nodes)].copy()
             edges = walked[e : e + int(count.sum())]
             w, e = w + len(nodes), e + len(edges)
             if path is not None:
                 count[0] += len(head)
-                done = int(path["count"][:word].sum())
-                edges = np.concatenate([path["edges"][:done], np.array(head, np.int64), edges])
-                count = np.concatenate([path["count"][:word], count])
-            d.add(walker, sample, value, edges, count, step, taken)
+                done = int(path.ends[word] - path.count[word])
+                edges = np.concatenate([path.edges[:done], head, edges])
+                count = np.concatenate([path.count[:word], count])
+            d.paths.append(_Path(value, edges, count, step, taken))
+        _fill_agendas(walker, going, sample)
+    found = [p for d in documents for p in d.paths]
+    edges = np.concatenate([p.edges for p in found]) if found else np.zeros(0, np.int64)
+    spelled = iter(vocabulary.in_bytes(walker.piece[edges].astype(np.int64), np.array([len(p.edges) for p in found], np.int64)))
     out = []
     for d in documents:
         limit = d.best()[0]
-        found = []
-        for path in d.paths[:k]:
-            ids = vocabulary.in_bytes(walker.piece[path["edges"]])
-            score = 1.0 if limit == -np.inf else float(-np.expm1(-np.exp(path["log_prob"] - limit)))
-            found.append({"ids": ids, "log_prob": path["log_prob"], "perturbed": path["value"], "inclusion": score})
-        out.append(found)
+        out.append([
+            {
+                "ids": next(spelled), "log_prob": p.log_prob, "perturbed": p.value,
+                "inclusion": 1.0 if limit == -np.inf else float(-np.expm1(-np.exp(p.log_prob - limit))),
+            }
+            for p in d.paths
+        ])
     return out
 
 
+_WALKERS: dict[tuple[str, float], Lattice] = {}
+
+
+def walker_of(model: str, power: float) -> Lattice:
+    """One per worker process, with the words that it has met in earlier tasks."""
+    if (model, power) not in _WALKERS:
+        vocabulary = Vocabulary(model, power)
+        _WALKERS[model, power] = Lattice(Trie(vocabulary), vocabulary)
+    return _WALKERS[model, power]
+
+
 def _keys(rows: pa.Array) -> np.ndarray:
     return np.array([(zlib.crc32(s) << 32) | zlib.crc32(s, 1) for s in (x.encode() for x in rows.to_pylist())], np.uint64)
 
@@ -361,8 +497,8 @@ def sampled(
     types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.bool_(), pa.binary()]
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(model, power)
-        trie = Trie(vocabulary)
+        walker = walker_of(model, power)
+        vocabulary = walker.vocabulary
         for batch in batches:
             rows, texts = batch.column("doc_id").to_pylist(), batch.column("text")
             seeds = _keys(batch.column("key"))
@@ -370,8 +506,8 @@ def sampled(
             for low, high in in_groups(sizes, _BATCH_CHARS):
                 part = texts[low:high].to_pylist()
                 columns: list[list] = [[] for _ in names]
-                for i, paths in enumerate(sample_texts(part, seeds[low:high], k, trie, vocabulary)):
-                    spelled = part[i].replace(_SPACE, " ").encode()
+                for i, paths in enumerate(sample_texts(part, seeds[low:high], k, walker.trie, vocabulary, walker)):
+                    spelled = part[i].encode()
                     for number, p in enumerate(paths):
                         ids = p["ids"].tobytes()
                         values = (
@@ -380,6 +516,7 @@ def sampled(
                         )
                         for column, value in zip(columns, values, strict=True):
                             column.append(value)
+                walker.forget()
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
     out = held.mapInArrow(local, _SCHEMA)

@@ -204,3 +204,29 @@ def test_segmentation_rows(awkward, empty):
     again = segmentation.sampled(awkward.repartition(3), MODEL).collect()
     assert sorted(map(str, rows)) == sorted(map(str, again))
     assert segmentation.sampled(empty, MODEL).count() == 0
+
+
+def test_the_sign_for_a_space_is_spelled_in_bytes():
+    vocabulary = segmentation.Vocabulary(MODEL)
+    trie = segmentation.Trie(vocabulary)
+    for text in ("a▁b x", "▁", " ▁▁ a", "a  ▁", "\n▁a"):
+        (found,) = segmentation.sample_texts([text], np.array([7], np.uint64), 3, trie, vocabulary)
+        assert found
+        assert all(vocabulary.decode(p["ids"]).decode() == text for p in found)
+
+
+def test_samples_do_not_depend_on_the_words_met_before(monkeypatch):
+    vocabulary = segmentation.Vocabulary(MODEL)
+    trie = segmentation.Trie(vocabulary)
+    rng = np.random.default_rng(4)
+    words = ["".join(rng.choice(list("etaoin東é\n"), rng.integers(1, 14))) for _ in range(400)]
+    texts = [" ".join(rng.choice(words, 60)) for _ in range(30)]
+    keys = segmentation._hash(np.arange(30, dtype=np.uint64))
+    alone = [segmentation.sample_texts([t], keys[i : i + 1], 3, trie, vocabulary)[0] for i, t in enumerate(texts)]
+    monkeypatch.setattr(segmentation, "_KEPT_BYTES", 100_000)
+    walker = segmentation.Lattice(trie, vocabulary)
+    for low in range(0, 30, 5):
+        found = segmentation.sample_texts(texts[low : low + 5], keys[low : low + 5], 3, trie, vocabulary, walker)
+        assert str(found) == str(alone[low : low + 5])
+        walker.forget()
+        assert walker.nbytes <= 100_000 and len(walker.known) == len(walker.first)

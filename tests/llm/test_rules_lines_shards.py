@@ -114,6 +114,31 @@ def test_shards(spark, awkward, empty):
     assert sharding.sharded(empty).count() == 0
 
 
+def jump_of_one(key, shards):
+    """The published loop for one key, in whole numbers, after the spreading of neighbouring ids."""
+    most = (1 << 64) - 1
+    for shift, odd in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        key = (key ^ key >> shift) * odd & most
+    key ^= key >> 31
+    shard, ahead = -1, 0
+    while ahead < shards:
+        shard = ahead
+        key = (key * 2862933555777941757 + 1) & most
+        ahead = (shard + 1) * (1 << 31) // ((key >> 33) + 1)
+    return shard
+
+
+def test_shards_against_the_scalar_loop(spark):
+    ids = [*range(500), -1, -7, (1 << 63) - 1, -(1 << 63), None]
+    rows = sharding.sharded(spark.createDataFrame([(i, "x") for i in ids], "doc_id bigint, text string")).collect()
+    for r in rows:
+        key = sharding._NULL_KEY if r.doc_id is None else r.doc_id & ((1 << 64) - 1)
+        assert (r.shard, r.grown_shard) == (jump_of_one(key, 40), jump_of_one(key, 41))
+    for n in (1, 2, 3, 1000, 1 << 20):
+        keys = np.random.default_rng(n).integers(0, 1 << 64, 300, dtype=np.uint64)
+        assert sharding.jump(keys.copy(), n).tolist() == [jump_of_one(int(k), n) for k in keys]
+
+
 def test_jump_moves_keys_only_into_the_new_shard():
     keys = np.arange(5_000, dtype=np.uint64) * np.uint64(2654435761)
     before = sharding.jump(keys, 1)

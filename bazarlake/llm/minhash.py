@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bazarlake.llm.common import row_of, utf8, words_of
-from bazarlake.llm.components import components
+from bazarlake.llm.components import LINKS_PER_TASK, components
 from bazarlake.llm.encoding import in_groups
 from bazarlake.operators.workdir import materialize
 
@@ -49,6 +49,8 @@ _BLOCK = 4096
 _CARRIED = 256
 #: Shingles that one Arrow batch holds.
 _SPREAD = 1 << 19
+#: Sets that a task reads; they are wider than other rows.
+_SETS_PER_TASK = 10_000
 _ODD = np.random.default_rng(20240607).integers(1, 1 << 63, (2, 64), dtype=np.uint64) | np.uint64(1)
 
 
@@ -127,7 +129,17 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("cid", "print", "bytes").mapInArrow(built, "cid bigint, members binary")
 
 
-def _overlaps(pairs: DataFrame, sets: DataFrame, sizes: DataFrame) -> DataFrame:
+def _fitted(df: DataFrame, rows_per_task: int = LINKS_PER_TASK) -> DataFrame:
+    """Computed once, and read by as many tasks as its rows need.
+
+    A shuffle writes files for each of the tasks before it, so many tasks with few rows each would
+    fill the disks with files that are almost empty.
+    """
+    held = materialize(df)
+    return held.coalesce(1 + held.count() // rows_per_task)
+
+
+def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) with the sizes of both sets and of their intersection: n_a, n_b, common."""
 
     @F.arrow_udf("bigint")
@@ -141,10 +153,9 @@ def _overlaps(pairs: DataFrame, sets: DataFrame, sizes: DataFrame) -> DataFrame:
 
     first = sets.select(F.col("cid").alias("a"), F.col("members").alias("left_set"))
     second = sets.select(F.col("cid").alias("b"), F.col("members").alias("right_set"))
-    n_a = sizes.select(F.col("cid").alias("a"), F.col("n_shingles").alias("n_a"))
-    n_b = sizes.select(F.col("cid").alias("b"), F.col("n_shingles").alias("n_b"))
-    counted = pairs.join(first, "a").join(second, "b").select("a", "b", overlap("left_set", "right_set").alias("common"))
-    return counted.join(n_a, "a").join(n_b, "b")
+    n_a, n_b = ((F.octet_length(side) / 8).cast("bigint") for side in ("left_set", "right_set"))
+    both = pairs.join(first, "a").join(second, "b")
+    return both.select("a", "b", overlap("left_set", "right_set").alias("common"), n_a.alias("n_a"), n_b.alias("n_b"))
 
 
 def _linked(percent: int):
@@ -188,17 +199,17 @@ def _against(belongs: DataFrame, sets: DataFrame, consensus: DataFrame) -> DataF
 
     held = belongs.select("cid", "led").join(sets, "cid").join(consensus, "led", "left")
     held = held.select("cid", "led", "members", F.coalesce("consensus", F.array().cast("array<bigint>")).alias("consensus"))
-    met = materialize(held.mapInArrow(compared, "cid bigint, led bigint, common bigint, apart bigint, lacking array<bigint>"))
+    met = _fitted(held.mapInArrow(compared, "cid bigint, led bigint, common bigint, apart bigint, lacking array<bigint>"), _SETS_PER_TASK)
     rows = met.select("cid", "led", F.explode("lacking").alias("shingle"))
-    shared = materialize(rows.groupBy("led", "shingle").agg(F.count("*").alias("n")).filter("n > 1").select("led", "shingle"))
+    shared = _fitted(rows.groupBy("led", "shingle").agg(F.count("*").alias("n")).filter("n > 1").select("led", "shingle"))
     lists = rows.join(shared, ["led", "shingle"]).groupBy("cid", "led").agg(F.collect_list("shingle").alias("beyond"))
     return met.drop("lacking").join(lists, ["cid", "led"], "left")
 
 
 def _leaders(bucketed: DataFrame) -> DataFrame:
     """(key, leader): in each bucket the class that meets most others over all tables."""
-    sizes = materialize(bucketed.groupBy("key").agg(F.count("*").alias("n")))
-    meetings = materialize(bucketed.join(sizes, "key").groupBy("cid").agg(F.sum("n").alias("meetings")))
+    sizes = _fitted(bucketed.groupBy("key").agg(F.count("*").alias("n")))
+    meetings = _fitted(bucketed.join(sizes, "key").groupBy("cid").agg(F.sum("n").alias("meetings")))
     best = bucketed.join(meetings, "cid").groupBy("key").agg(F.max(F.struct("meetings", (-F.col("cid")).alias("order"))).alias("best"))
     return best.select("key", (-F.col("best.order")).alias("leader"))
 
@@ -229,23 +240,23 @@ def classified(
     classes = materialize(grouped.withColumn("cid", F.monotonically_increasing_id()))
 
     pairs = [(i, j) for i in range(collections) for j in range(i + 1, collections)]
+    classes = classes.coalesce(1 + classes.count() * len(pairs) // LINKS_PER_TASK)
     keys = F.array(*[F.xxhash64(F.lit(n), F.get("halves", F.lit(i)), F.get("halves", F.lit(j))) for n, (i, j) in enumerate(pairs)])
     keyed = classes.select("cid", F.posexplode(keys).alias("place", "key"))
     met = keyed.groupBy("key").agg(F.min("cid").alias("low"), F.max("cid").alias("high")).filter("low < high").select("key")
-    bucketed = materialize(keyed.join(materialize(met), "key"))
+    bucketed = _fitted(keyed.join(_fitted(met), "key"))
 
-    candidates = materialize(bucketed.select("cid").distinct().join(classes.select("cid", "print", "source"), "cid"))
+    candidates = _fitted(bucketed.select("cid").distinct().join(classes.select("cid", "print", "source"), "cid"))
     texts = named.select("doc_id", F.xxhash64("text").alias("text_hash"), utf8().alias("bytes")).join(
         candidates.select("cid", "print", F.col("source.doc_id").alias("s_id"), F.col("source.text_hash").alias("s_hash")),
         F.col("doc_id").eqNullSafe(F.col("s_id")) & (F.col("text_hash") == F.col("s_hash")),
     )
-    sets = materialize(_sets(texts, width).dropDuplicates(["cid"]))
+    sets = _fitted(_sets(texts, width).dropDuplicates(["cid"]), _SETS_PER_TASK)
 
-    sizes = classes.select("cid", "n_shingles")
-    leaders = materialize(_leaders(bucketed))
+    leaders = _fitted(_leaders(bucketed))
     led = bucketed.join(leaders, "key").filter("cid <> leader").select(F.col("cid").alias("a"), F.col("leader").alias("b"))
     first = led.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    overlaps = materialize(_overlaps(first, sets, sizes))
+    overlaps = _fitted(_overlaps(first, sets))
 
     so_far = components(overlaps.filter(_linked(percent))).withColumnRenamed("node", "cid")
     more = _further_links(bucketed, leaders, so_far, classes, sets, pairs, percent)
@@ -253,8 +264,8 @@ def classified(
     held = ["first_row"] if with_survivor else []
     named_classes = classes.select("cid", "rep", "print", *held).join(so_far, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     named_classes = named_classes.join(merged, "component", "left").withColumn("component", F.coalesce("merged", "component"))
-    least = materialize(named_classes.groupBy("component").agg(F.min("rep").alias("component_id"), *[F.min(c).alias(c) for c in held]))
-    lookup = materialize(named_classes.drop(*held).join(least, "component").select("print", "component_id", *held))
+    least = _fitted(named_classes.groupBy("component").agg(F.min("rep").alias("component_id"), *[F.min(c).alias(c) for c in held]))
+    lookup = _fitted(named_classes.drop(*held).join(least, "component").select("print", "component_id", *held))
     own = signed.select("doc_id", "text_hash", "n_shingles", "print").join(lookup, "print", "left")
     component = F.when(F.col("print").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return own.select(
@@ -285,7 +296,7 @@ def _between(found: DataFrame, placed: DataFrame) -> DataFrame:
     return found.join(of_a, "a").join(of_b, "b").select(F.col("c_a").alias("a"), F.col("c_b").alias("b")).distinct()
 
 
-def _centre_links(known: DataFrame, sets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def _centre_links(known: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Confirmed links of classes outside a leading component with the class nearest its consensus."""
     centres = known.filter("component = led").groupBy("led").agg(F.min(F.struct("apart", "cid", "common", "n_shingles")).alias("centre"))
     beyond = F.least(F.col("n_shingles") - F.col("common"), F.col("centre.n_shingles") - F.col("centre.common"))
@@ -294,7 +305,7 @@ def _centre_links(known: DataFrame, sets: DataFrame, classes: DataFrame, percent
         (100 + percent) * at_most >= percent * (F.col("n_shingles") + F.col("centre.n_shingles"))
     )
     pairs = asked.select(F.least("cid", "centre.cid").alias("a"), F.greatest("cid", "centre.cid").alias("b")).distinct()
-    return _overlaps(pairs, sets, classes.select("cid", "n_shingles")).filter(_linked(percent))
+    return _overlaps(pairs, sets).filter(_linked(percent))
 
 
 def _further_links(
@@ -307,22 +318,23 @@ def _further_links(
     percent: int,
 ) -> DataFrame:
     """Links between the components ``so_far``, from classes that are outside their leaders' components."""
-    placed = materialize(bucketed.join(so_far, "cid", "left").withColumn("component", F.coalesce("component", "cid")))
+    placed = _fitted(bucketed.join(so_far, "cid", "left").withColumn("component", F.coalesce("component", "cid")))
     led = leaders.join(so_far.withColumnRenamed("cid", "leader"), "leader", "left").select(
         "key", "leader", F.coalesce("component", "leader").alias("led")
     )
-    open_keys = materialize(
+    open_keys = _fitted(
         placed.join(led, "key").filter("component <> led").groupBy("key").agg(F.min("leader").alias("leader"), F.min("led").alias("led"))
     )
-    held = materialize(placed.join(open_keys, "key"))
-    belongs = materialize(held.groupBy("cid", "led", "component").agg(F.max(F.col("cid") != F.col("leader")).alias("follows")))
-    consensus = materialize(_consensus(belongs.filter("component = led").select("cid", "led"), sets))
-    known = materialize(
+    held = _fitted(placed.join(open_keys, "key"))
+    belongs = _fitted(held.groupBy("cid", "led", "component").agg(F.max(F.col("cid") != F.col("leader")).alias("follows")))
+    consensus = _fitted(_consensus(belongs.filter("component = led").select("cid", "led"), sets), _SETS_PER_TASK)
+    known = _fitted(
         belongs.join(_against(belongs, sets, consensus), ["cid", "led"])
         .withColumn("beyond", F.coalesce("beyond", F.array().cast("array<bigint>")))
-        .join(classes.select("cid", "n_shingles", "halves"), "cid")
+        .join(classes.select("cid", "n_shingles", "halves"), "cid"),
+        _SETS_PER_TASK,
     )
-    near = materialize(_between(_centre_links(known, sets, classes, percent), placed))
+    near = _fitted(_between(_centre_links(known, sets, percent), placed))
 
     # Within its group, a component that the centre links counts as the leading one.
     both_ways = near.unionAll(near.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
@@ -331,7 +343,7 @@ def _further_links(
         "component", F.when(F.col("linked"), F.col("led")).otherwise(F.col("component"))
     )
     possible = 100 * (F.col("common") + F.size("beyond")) >= percent * F.col("n_shingles")
-    able = materialize(known.filter(F.col("follows") & possible).drop("follows", "apart", "linked"))  # leaders have met all of theirs
+    able = _fitted(known.filter(F.col("follows") & possible).drop("follows", "apart", "linked"))  # leaders have met all of theirs
     members = held.filter("cid <> leader").select("key", "place", "cid", "led")
 
     # A pair of two minor classes is met from both sides; it counts once, from the smaller id.
@@ -344,7 +356,7 @@ def _further_links(
     keyed = members.join(able, ["cid", "led"])
     smallest = keyed.groupBy("key").agg(F.min("n_shingles").alias("smallest"))
     enough = (100 + percent) * F.col("common") >= percent * (F.col("n_shingles") + F.col("smallest"))
-    left = materialize(keyed.join(smallest, "key").filter(enough).withColumn("beyond", F.lit(None).cast("array<bigint>")))
+    left = _fitted(keyed.join(smallest, "key").filter(enough).withColumn("beyond", F.lit(None).cast("array<bigint>")))
     places = F.array(*[F.array(F.lit(i), F.lit(j)) for i, j in pairs])
     in_first_table = F.slice(agreeing, 1, 2) == F.get(places, F.col("place"))
     met = (
@@ -354,7 +366,7 @@ def _further_links(
     )
 
     # Shingles in common beyond the consensus: each pair counts at the first of them.
-    spread = materialize(
+    spread = _fitted(
         able.withColumn("shingle", F.explode("beyond"))
         .withColumn("n_beyond", F.size("beyond"))
         .withColumn("beyond", F.when(F.size("beyond") <= _CARRIED, F.col("beyond")))
@@ -369,7 +381,7 @@ def _further_links(
         .filter(once & ((100 + percent) * at_most >= needed) & (unknown | exact) & (F.size(agreeing) >= 2))
     )
     further = met.select("a", "b").unionAll(beyond.select("a", "b")).distinct()
-    found = materialize(_overlaps(further, sets, classes.select("cid", "n_shingles")).filter(_linked(percent)))
+    found = _fitted(_overlaps(further, sets).filter(_linked(percent)))
     return near.unionAll(_between(found, placed)).distinct()
 
 

@@ -19,8 +19,9 @@ _DOUBTFUL = re.compile(r" (?=\s|\Z)")
 _CUT = re.compile(r" (?=\S)")
 #: Plain letters, then marks that can begin no contraction.
 _WORD_AND_MARKS = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]+)")
-#: Bytes of kept chunks and their ids, Python's own overhead of an entry included.
-_CACHED_BYTES = 96 << 20
+#: Bytes of kept chunks and their ids, Python's own overhead of an entry included. The tasks of an
+#: executor take turns with more workers than run at once, and each of them fills its own.
+_CACHED_BYTES = 48 << 20
 _ENTRY_BYTES = 200
 _LONGEST = 48
 #: Unknown chunks that are encoded as one text.

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bazarlake.sources.files import table_path
+from bazarlake.sources.files import COMPRESSION, table_path
 
 
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
@@ -22,7 +22,7 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
 
 
 def _writer(df: DataFrame, by: Sequence[str]):
-    writer = df.write.mode("overwrite")
+    writer = df.write.mode("overwrite").option("compression", COMPRESSION)
     return writer.partitionBy(*by) if by else writer
 
 

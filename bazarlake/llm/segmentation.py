@@ -31,6 +31,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -92,6 +93,9 @@ class Vocabulary:
                 self.spelling.append(piece.replace(_SPACE, " ").encode())
         self.byte_weight = -power * float(np.log(2.0 + size)) - 1.0
         self.longest = max(map(len, self.weight))
+        self.bytes = np.frombuffer(b"".join(self.spelling), np.uint8)  # of all ids, one after the other
+        self.width = np.array([len(x) for x in self.spelling], np.int64)
+        self.begin = np.cumsum(self.width) - self.width
 
     def in_bytes(self, pieces: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
         """Ids of paths of ``sizes`` pieces each, with the bytes' ids for the characters (numbered
@@ -114,7 +118,10 @@ class Vocabulary:
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The text of ids; the first space is the encoder's own."""
-        return b"".join(map(self.spelling.__getitem__, ids.tolist()))[1:]
+        width = self.width[ids]
+        place = np.repeat(self.begin[ids] - np.cumsum(width) + width, width)
+        place += np.arange(len(place))
+        return self.bytes[place[1:]].tobytes()
 
 
 class Trie:
@@ -178,12 +185,13 @@ class Lattice:
 
     def places(self, words: list[str]) -> np.ndarray:
         """Start nodes of words, unknown ones being added."""
-        found = list(map(self.known.get, words))
-        if None in found:
-            fresh = list(dict.fromkeys(w for w, i in zip(words, found, strict=True) if i is None))
-            self._add(fresh)
-            found = list(map(self.known.get, words))
-        return self.first[np.array(found, np.int64)]
+        found = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        unknown = np.flatnonzero(found < 0)
+        if len(unknown):
+            fresh = [words[i] for i in unknown.tolist()]
+            self._add(list(dict.fromkeys(fresh)))
+            found[unknown] = np.fromiter(map(self.known.__getitem__, fresh), np.int64, len(fresh))
+        return self.first[found]
 
     def forget(self) -> None:
         """Back to the last state within the bound, if the words since then exceed it."""
@@ -318,7 +326,8 @@ def _log_rest(log_share: np.ndarray) -> np.ndarray:
 
 class _Path:
     """A found path and the agenda of the sets beside it; its first ``branch`` steps belong to an
-    earlier path, and ``taken`` are the edges that paths take where they part."""
+    earlier path, and the agenda begins behind them; ``taken`` are the edges that paths take where
+    they part."""
 
     __slots__ = ("agenda", "branch", "count", "edges", "ends", "log_prob", "taken", "top", "value")
 
@@ -327,8 +336,8 @@ class _Path:
         self.ends = np.cumsum(count)
 
     def rank(self) -> None:
-        step = int(self.agenda.argmax()) if len(self.agenda) else -1
-        self.top = (float(self.agenda[step]), step) if step >= 0 else (-np.inf, -1)
+        best = int(self.agenda.argmax()) if len(self.agenda) else -1
+        self.top = (float(self.agenda[best]), self.branch + best) if best >= 0 else (-np.inf, -1)
 
 
 class _Document:
@@ -367,22 +376,30 @@ def _fill_agendas(walker: Lattice, documents: list[_Document], sample: int) -> N
     for low, high in zip(cuts, cuts[1:], strict=False):
         np.cumsum(shares[low:high], out=before[low:high])
     before -= shares
+    # Only the steps from each path's branch on; those before it are an earlier path's.
+    branch = np.array([p.branch for p in newest], np.int64)
+    steps = sizes - branch
+    starts = np.concatenate([[0], np.cumsum(steps)])
+    step = np.arange(starts[-1]) + np.repeat(branch - starts[:-1], steps)
+    if branch.any():
+        at = step + np.repeat(np.cumsum(sizes) - sizes, steps)
+        edges, before = edges[at], before[at]
+    starts = starts.tolist()
     mass = before + walker.log_rest[edges]
-    for d, path, low in zip(documents, newest, cuts, strict=False):
-        mass[low : low + path.branch] = -np.inf
+    for d, path, low in zip(documents, newest, starts, strict=False):
         if path.taken:
             _, node = d.at(walker, path, path.branch)
             rest = 1.0 - np.exp(walker.log_share[path.taken]).sum()
             open_ = rest > 1e-15 and len(path.taken) < walker.start[node + 1] - walker.start[node]
-            mass[low + path.branch] = before[low + path.branch] + np.log(rest) if open_ else -np.inf
+            mass[low] = before[low] + np.log(rest) if open_ else -np.inf
     keys = np.array([d.key for d in documents], np.uint64)
-    step = np.arange(1, len(edges) + 1) - np.repeat(cuts[:-1], sizes)
+    step += 1
     with np.errstate(over="ignore", divide="ignore"):
-        u = _uniform(np.repeat(_hash(keys + np.uint64(sample + 1) * _SAMPLE), sizes) + step.astype(np.uint64) * _MIX[1])
-        agenda = mass - np.log(np.exp(mass - np.repeat([p.value for p in newest], sizes)) - np.log(u))
+        u = _uniform(np.repeat(_hash(keys + np.uint64(sample + 1) * _SAMPLE), steps) + step.astype(np.uint64) * _MIX[1])
+        agenda = mass - np.log(np.exp(mass - np.repeat([p.value for p in newest], steps)) - np.log(u))
     agenda[~np.isfinite(mass)] = -np.inf
-    for path, low, high in zip(newest, cuts, cuts[1:], strict=False):
-        path.log_prob = float(shares[low:high].sum())
+    for path, a, b, low, high in zip(newest, cuts, cuts[1:], starts, starts[1:], strict=False):
+        path.log_prob = float(shares[a:b].sum())
         path.agenda = agenda[low:high]
         path.rank()
 
@@ -390,7 +407,7 @@ def _fill_agendas(walker: Lattice, documents: list[_Document], sample: int) -> N
 def _open_best(walker: Lattice, d: _Document, path: _Path, u: float) -> tuple:
     """(path, value, word, nodes to walk from, edges up to there within the word, step, edges taken at it)."""
     value, step = path.top
-    path.agenda[step] = -np.inf
+    path.agenda[step - path.branch] = -np.inf
     path.rank()
     word, node = d.at(walker, path, step)
     taken = path.taken if step == path.branch and path.taken else [int(path.edges[step])]

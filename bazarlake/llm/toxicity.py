@@ -20,9 +20,11 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain as joined
 
 import numpy as np
 import pyarrow as pa
@@ -145,13 +147,12 @@ def _evidence(marginal: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
-def _labelled_words(texts: list[list[bytes]], toxic: np.ndarray, types: dict[bytes, int], features: np.ndarray) -> np.ndarray:
+def _labelled_words(token: np.ndarray, sizes: np.ndarray, toxic: np.ndarray, features: np.ndarray) -> np.ndarray:
     """Whether a word type counts as toxic: a spelling, or five first letters, of toxic documents only."""
     n_toxic, n_clean = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
     bad, good = Counter(), Counter()
-    for words, label in zip(texts, toxic, strict=True):
-        seen = set(features[[types[w] for w in set(words)]][:, [0, 2, 3]].ravel().tolist()) if words else set()
-        (bad if label else good).update(seen)
+    for types, label in zip(np.split(token, np.cumsum(sizes)[:-1]), toxic, strict=True):
+        (bad if label else good).update(np.unique(features[np.unique(types)][:, [0, 2, 3]]).tolist())
     strong = {
         f for f, n in bad.items() if n >= max(3, 0.015 * n_toxic) and n / n_toxic > 30 * (good[f] + 0.1) / n_clean
     }
@@ -160,39 +161,37 @@ def _labelled_words(texts: list[list[bytes]], toxic: np.ndarray, types: dict[byt
     return flags[features[:, [0, 2, 3]]].any(axis=1)
 
 
-def _unlike(split: list[list[bytes]]) -> list[int]:
-    """Indices of documents that share neither of two minimum shingle hashes with an earlier one.
+def _unlike(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
+    """Index and words of documents that share neither of two minimum shingle hashes with an earlier one.
 
     Else the chance words of a much copied document would look like signs of its label.
     """
     seen: set[tuple[int, int]] = set()
-    out = []
-    for i, words in enumerate(split):
+    for i, text in enumerate(texts):
+        words = words_of(text)
         shingles = {b" ".join(words[k : k + 3]) for k in range(max(1, len(words) - 2))}
         least = [(seed, min(zlib.crc32(s, seed) for s in shingles)) for seed in (1, 2)]
         if seen.isdisjoint(least):
-            out.append(i)
+            yield i, words
         seen.update(least)
-    return out
 
 
 def fit_sample(texts: list[bytes], toxic: list[int], epochs: int = EPOCHS) -> Model:
-    """Fits the field on labelled documents held in memory."""
-    split = [words_of(t) for t in texts]
-    chosen = _unlike(split)
-    split, label = [split[i] for i in chosen], np.array([toxic[i] for i in chosen], bool)
-    if label.all() or not label.any():
-        return Model()
+    """Fits the field on labelled documents held in memory, with the words of one of them at a time."""
     types: dict[bytes, int] = {}
-    for words in split:
-        for w in words:
-            types.setdefault(w, len(types))
-    if not types:
+    chosen, token = [], array("i")
+    sizes = []
+    for i, words in _unlike(texts):
+        chosen.append(i)
+        sizes.append(len(words))
+        token.extend([types.setdefault(w, len(types)) for w in words])
+    label = np.array([toxic[i] for i in chosen], bool)
+    if label.all() or not label.any() or not types:
         return Model()
-    features = np.array([_features(w) for w in types], np.int64)
-    sizes = np.array([len(w) for w in split])
-    token = np.array([types[w] for words in split for w in words], np.int64)
-    bad_type = _labelled_words(split, label, types, features)
+    features = np.fromiter(joined.from_iterable(map(_features, types)), np.int64).reshape(len(types), -1)
+    sizes, token, n_types = np.array(sizes), np.frombuffer(token, np.int32), len(types)
+    del types
+    bad_type = _labelled_words(token, sizes, label, features)
     y = bad_type[token] & np.repeat(label, sizes)
     inner = np.ones(len(token), bool)
     inner[(np.cumsum(sizes) - sizes)[sizes > 0]] = False
@@ -222,7 +221,7 @@ def fit_sample(texts: list[bytes], toxic: list[int], epochs: int = EPOCHS) -> Mo
 
     for k in range(1, epochs + 1):
         marginal, expected = swept(weights[features].sum(axis=1))
-        per_type = np.bincount(token, y - marginal, minlength=len(types))
+        per_type = np.bincount(token, y - marginal, minlength=n_types)
         gradient = np.bincount(flat, np.repeat(per_type, repeat), minlength=1 << BITS) - 0.02 * weights
         weights = adam(weights, gradient, 0, k)
         transition = adam(transition, seen - expected - 0.02 * transition, 2, k)
